@@ -1,0 +1,19 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, *keys: str) -> DataFrame:
+    """Repartition an under-split input so per-row work uses every core.
+
+    A large input read from many files already has thousands of splits and is returned
+    unchanged (no shuffle). A small or single-row-group file arrives as one partition; it is
+    then spread to ``min_partitions`` (default: the cluster's default parallelism), hashed on
+    ``keys`` when given (deterministic on task retry) or round-robin otherwise.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

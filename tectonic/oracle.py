@@ -8,7 +8,7 @@ dedup — so it shares no plan with the Spark implementation. Used by the correc
 from __future__ import annotations
 
 from .functions.text import PY_WHITESPACE
-from .sources.fixtures import BLANKED_LINES_SQL, PROVINCE_FEATURES, SEED_LINES_SQL
+from .sources.fixtures import BLANK_SQL, PROVINCE_FEATURES, SEED_LINES_SQL
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
 
@@ -221,7 +221,7 @@ SLICED_COLS = ("record_type, event_time_raw, station_count_raw, latitude_raw, la
 def all_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["raw_lines_nonblank"] = f"""
-SELECT line_id, raw_line FROM ({BLANKED_LINES_SQL.format(seed=SEED)}) b
+SELECT line_id, raw_line FROM (SELECT line_id, {BLANK_SQL} AS raw_line FROM ({SEED}) s) b
 WHERE trim(raw_line, {WS}) <> ''"""
     q["fixed_width_slice"] = sliced_sql()
     q["typed_events"] = typed_sql()

@@ -10,14 +10,19 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .operators.partitioning import spread
 from .plans import bronze, gold, silver
 from .sources.fixtures import blanked_lines, province_geojson, seed_lines
 from .sources.geojson import features_from_text
 from .sources.tables import table
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "events").select("event_id", "user_id"), None, "event_id")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seed_lines(spark, table(spark, sf_dir, "events"))
+    return seed_lines(spark, events(spark, sf_dir))
 
 
 def sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +49,7 @@ def fact(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
 
 
 def q_raw_lines_nonblank(spark, sf_dir):
-    return bronze.nonblank_lines(blanked_lines(spark, table(spark, sf_dir, "events")))
+    return bronze.nonblank_lines(blanked_lines(spark, events(spark, sf_dir)))
 
 
 def q_fixed_width_slice(spark, sf_dir):
