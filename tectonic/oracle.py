@@ -259,4 +259,62 @@ GROUP BY 1 ORDER BY 2 DESC, 1""")
 SELECT province_name,
   {_pivot_cols()}
 FROM src GROUP BY province_name ORDER BY province_name""")
+    q.update(extra_sql())
+    return q
+
+
+BALANCE_SRC = """src AS (
+  SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal - o.largest_order AS c_acctbal
+  FROM customer c JOIN (SELECT o_custkey, max(o_totalprice) AS largest_order
+                        FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+  WHERE o.largest_order > c.c_acctbal)"""
+
+
+def extra_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["upsert_by_key"] = f"""
+WITH {BALANCE_SRC}
+SELECT * FROM customer t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.c_custkey = t.c_custkey)
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM src"""
+    q["full_refresh"] = f"""
+WITH {BALANCE_SRC}
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM src"""
+    q["coerce_datetime"] = """
+SELECT o_orderkey, o_orderdate_text,
+       CAST(try_strptime(o_orderdate_text, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS o_orderdate
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%d/%m/%Y')
+                  ELSE CAST(o_orderdate AS VARCHAR) END AS o_orderdate_text
+      FROM orders) o"""
+    nb = f"trim(raw_line, {WS}) <> ''"
+    lat = f"length(nullif(trim(substr(raw_line, 23, 6), {WS}), '')) = 6"
+    lon = f"length(nullif(trim(substr(raw_line, 34, 7), {WS}), '')) = 7"
+    q["load_metrics"] = f"""
+SELECT count(*) AS num_lines,
+       count(*) FILTER (WHERE NOT ({nb})) AS blank_lines,
+       count(*) FILTER (WHERE {nb}) AS records,
+       count(*) FILTER (WHERE {nb} AND length(raw_line) < 96) AS short_lines,
+       count(*) FILTER (WHERE {nb} AND length(raw_line) >= 96 AND {lat} AND {lon}) AS typed_records
+FROM (SELECT line_id, {BLANK_SQL} AS raw_line FROM ({SEED}) s) raw"""
+    q["pk_violations"] = f"""
+SELECT event_id, count(*) AS row_count FROM ({keyed_sql(DOUBLED_SEED)}) k
+GROUP BY event_id HAVING count(*) > 1"""
+    nulls = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM fact"
+        for c in ("event_id", "event_time", "latitude", "longitude"))
+    q["null_violations"] = with_fact(nulls)
+    lengths = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS violations, "
+        f"CAST({n} AS INTEGER) AS max_length FROM fact"
+        for c, n in (("event_id", 64), ("magnitude_type_1", 10), ("province_id", 10)))
+    q["length_violations"] = with_fact(lengths)
+    q["fk_orphans"] = with_fact("""
+SELECT event_id, province_id FROM fact
+WHERE province_id IS NOT NULL
+  AND province_id NOT IN (SELECT province_id FROM dim WHERE province_name <> 'Delta')""")
+    q["fk_set_null"] = with_fact("""
+SELECT f.* REPLACE (CASE WHEN d.province_id IS NOT NULL THEN f.province_id END AS province_id)
+FROM fact f LEFT JOIN (SELECT DISTINCT province_id FROM dim WHERE province_name <> 'Delta') d
+  ON f.province_id = d.province_id""")
     return q

@@ -10,7 +10,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .functions.datetimes import coerce_datetimes
+from .functions.text import is_blank
 from .operators.partitioning import spread
+from .operators.quality import (fk_orphans, fk_set_null, length_violations, null_violations,
+                                pk_violations)
+from .operators.slicing import CATALOGUE_RECORD_LENGTH, slice_columns
+from .operators.upsert import full_refresh, upsert_by_key
 from .plans import bronze, gold, silver
 from .sources.fixtures import blanked_lines, province_geojson, seed_lines
 from .sources.geojson import features_from_text
@@ -112,3 +118,110 @@ QUERIES = {
     "quakes_by_province": partial(_gold_dim, gold.quakes_by_province),
     "province_year_pivot": partial(_gold_dim, gold.province_year_pivot),
 }
+
+
+# --- sinks, coercion, metrics and data quality over the driver tables -------------------
+
+UPSERT_KEYS = ("c_custkey",)
+UPSERT_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+
+
+def balance_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged source for the customer upsert: customers whose largest order exceeds their
+    balance, charged that order (declared columns only, so ``c_mktsegment`` is not carried)."""
+    customer = table(spark, sf_dir, "customer")
+    largest = table(spark, sf_dir, "orders").groupBy("o_custkey") \
+        .agg(F.max("o_totalprice").alias("largest_order"))
+    return (customer.join(largest, customer["c_custkey"] == largest["o_custkey"])
+            .filter(F.col("largest_order") > F.col("c_acctbal"))
+            .select("c_custkey", "c_name", "c_nationkey",
+                    (F.col("c_acctbal") - F.col("largest_order")).alias("c_acctbal")))
+
+
+def q_upsert_by_key(spark, sf_dir):
+    return upsert_by_key(table(spark, sf_dir, "customer"), balance_updates(spark, sf_dir),
+                         UPSERT_KEYS, UPSERT_COLUMNS)
+
+
+def q_full_refresh(spark, sf_dir):
+    return full_refresh(table(spark, sf_dir, "customer"), balance_updates(spark, sf_dir),
+                        UPSERT_COLUMNS)
+
+
+# Orders of the lowest priority carry their date in another layout, which the one stated
+# format rejects (-> null).
+DATE_TEXT_SQL = ("case when o_orderpriority = '5-LOW' then date_format(o_orderdate, 'dd/MM/yyyy') "
+                 "else cast(o_orderdate as string) end")
+
+
+def q_coerce_datetime(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr(DATE_TEXT_SQL).alias("o_orderdate_text"))
+    return coerce_datetimes(orders.withColumn("o_orderdate", F.col("o_orderdate_text")),
+                            ["o_orderdate"])
+
+
+def q_load_metrics(spark, sf_dir):
+    """Lines read, blank lines dropped, short lines (all-null records), typed records —
+    one aggregation pass over the raw lines."""
+    raw = blanked_lines(spark, events(spark, sf_dir))
+    blank = is_blank("raw_line")
+    cols = slice_columns("raw_line")
+    lat, lon = cols[3], cols[5]
+    typed_ok = ~blank & (F.length(lat) == 6) & (F.length(lon) == 7)
+    return raw.agg(
+        F.count(F.lit(1)).alias("num_lines"),
+        F.count_if(blank).alias("blank_lines"),
+        F.count_if(~blank).alias("records"),
+        F.count_if(~blank & (F.length("raw_line") < CATALOGUE_RECORD_LENGTH)).alias("short_lines"),
+        F.count_if(typed_ok).alias("typed_records"))
+
+
+def raw_fact_rows(spark, sf_dir):
+    """Fact rows before deduplication, over two copies of every line."""
+    both = bronze.union_batches(sliced(spark, sf_dir), sliced(spark, sf_dir))
+    return silver.fact_projection(silver.keyed_events(silver.typed_events(both)))
+
+
+# Declared constraints of the warehouse tables.
+FACT_NOT_NULL = ("event_id", "event_time", "latitude", "longitude")
+FACT_LENGTHS = {"event_id": 64, "magnitude_type_1": 10, "province_id": 10}
+
+
+def reloaded_dim(spark):
+    """The dimension after a reload that lost one province (its facts become orphans)."""
+    return dim(spark).filter(F.col("province_name") != "Delta")
+
+
+def q_pk_violations(spark, sf_dir):
+    return pk_violations(raw_fact_rows(spark, sf_dir), ["event_id"])
+
+
+def q_null_violations(spark, sf_dir):
+    return null_violations(fact(spark, sf_dir), FACT_NOT_NULL)
+
+
+def q_length_violations(spark, sf_dir):
+    return length_violations(fact(spark, sf_dir), FACT_LENGTHS)
+
+
+def q_fk_orphans(spark, sf_dir):
+    return fk_orphans(fact(spark, sf_dir), reloaded_dim(spark), "province_id") \
+        .select("event_id", "province_id")
+
+
+def q_fk_set_null(spark, sf_dir):
+    return fk_set_null(fact(spark, sf_dir), reloaded_dim(spark), "province_id")
+
+
+QUERIES.update({
+    "upsert_by_key": q_upsert_by_key,
+    "full_refresh": q_full_refresh,
+    "coerce_datetime": q_coerce_datetime,
+    "load_metrics": q_load_metrics,
+    "pk_violations": q_pk_violations,
+    "null_violations": q_null_violations,
+    "length_violations": q_length_violations,
+    "fk_orphans": q_fk_orphans,
+    "fk_set_null": q_fk_set_null,
+})
