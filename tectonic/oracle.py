@@ -267,7 +267,7 @@ BALANCE_SRC = """src AS (
   SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal - o.largest_order AS c_acctbal
   FROM customer c JOIN (SELECT o_custkey, max(o_totalprice) AS largest_order
                         FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
-  WHERE o.largest_order > c.c_acctbal)"""
+  WHERE c.c_acctbal < 0)"""
 
 
 def extra_sql() -> dict[str, str]:

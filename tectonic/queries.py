@@ -127,13 +127,13 @@ UPSERT_COLUMNS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal")
 
 
 def balance_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged source for the customer upsert: customers whose largest order exceeds their
-    balance, charged that order (declared columns only, so ``c_mktsegment`` is not carried)."""
+    """Staged source for the customer upsert: overdrawn customers with orders, charged their
+    largest order (declared columns only, so ``c_mktsegment`` is not carried)."""
     customer = table(spark, sf_dir, "customer")
     largest = table(spark, sf_dir, "orders").groupBy("o_custkey") \
         .agg(F.max("o_totalprice").alias("largest_order"))
     return (customer.join(largest, customer["c_custkey"] == largest["o_custkey"])
-            .filter(F.col("largest_order") > F.col("c_acctbal"))
+            .filter(F.col("c_acctbal") < 0)
             .select("c_custkey", "c_name", "c_nationkey",
                     (F.col("c_acctbal") - F.col("largest_order")).alias("c_acctbal")))
 
