@@ -41,7 +41,7 @@ def build_session(master: str | None = None, app_name: str = "tectonic",
     spark = builder.getOrCreate()
     # Session-level SQL settings also apply when the session already existed.
     for key, value in conf.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
