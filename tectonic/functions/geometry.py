@@ -18,49 +18,58 @@ POLYGON_TYPE = "Polygon"
 MULTIPOLYGON_TYPE = "MultiPolygon"
 
 
-def _xy_only(polys: Column) -> Column:
+def _sql(c: Column | str) -> str:
+    """Only plain column names are accepted where SQL text is assembled."""
+    if not isinstance(c, str):
+        raise TypeError("geometry helpers take column names")
+    return f"`{c}`"
+
+
+def _xy_only_sql(polys: str) -> str:
     """Drop any third ordinate: keep ``[x, y]`` of every point."""
-    return F.transform(polys, lambda poly: F.transform(
-        poly, lambda ring: F.transform(ring, lambda p: F.slice(p, 1, 2))))
+    return (f"transform({polys}, poly -> transform(poly, ring -> "
+            f"transform(ring, p -> slice(p, 1, 2))))")
 
 
 def geojson_type(geometry_json: Column | str) -> Column:
     return F.get_json_object(col_of(geometry_json), "$.type")
 
 
-def geojson_polygons(geometry_json: Column | str) -> Column:
+def geojson_polygons(geometry_json: str) -> Column:
     """GeoJSON geometry text -> polygon list; types other than (Multi)Polygon -> null."""
-    g = col_of(geometry_json)
-    gtype = geojson_type(g)
-    coords = F.get_json_object(g, "$.coordinates")
-    polys = (F.when(gtype == MULTIPOLYGON_TYPE, F.from_json(coords, MULTIPOLYGON))
-             .when(gtype == POLYGON_TYPE, F.array(F.from_json(coords, POLYGON))))
-    return _xy_only(polys)
+    g = _sql(geometry_json)
+    coords = f"get_json_object({g}, '$.coordinates')"
+    gtype = f"get_json_object({g}, '$.type')"
+    polys = (f"CASE WHEN {gtype} = '{MULTIPOLYGON_TYPE}' "
+             f"THEN from_json({coords}, '{MULTIPOLYGON.simpleString()}') "
+             f"WHEN {gtype} = '{POLYGON_TYPE}' "
+             f"THEN array(from_json({coords}, '{POLYGON.simpleString()}')) END")
+    return F.expr(_xy_only_sql(polys))
 
 
-def ordinate_text(x: Column) -> Column:
-    """Shortest plain decimal text of a coordinate: 139.0 -> '139', 1e-4 -> '0.0001'."""
-    plain = x.cast("decimal(38,20)").cast("string")
-    return F.regexp_replace(plain, r"\.?0+$", "")
+def _ordinate_sql(x: str) -> str:
+    return f"regexp_replace(cast(cast({x} AS decimal(38,20)) AS string), '\\\\.?0+$', '')"
 
 
-def _ring_text(ring: Column) -> Column:
-    points = F.transform(ring, lambda p: F.concat(ordinate_text(p[0]), F.lit(" "),
-                                                  ordinate_text(p[1])))
-    return F.concat(F.lit("("), F.array_join(points, ", "), F.lit(")"))
+def ordinate_text(x: Column | str) -> Column:
+    """Shortest plain decimal text of a coordinate: 139.0 -> '139', 1e-4 -> '0.0001'."""
+    return F.expr(_ordinate_sql(_sql(x)))
 
 
-def _polygon_text(poly: Column) -> Column:
-    return F.concat(F.lit("("), F.array_join(F.transform(poly, _ring_text), ", "), F.lit(")"))
+def _polygon_sql(poly: str) -> str:
+    point = f"concat({_ordinate_sql('pt[0]')}, ' ', {_ordinate_sql('pt[1]')})"
+    ring = f"concat('(', array_join(transform(ring, pt -> {point}), ', '), ')')"
+    return f"concat('(', array_join(transform({poly}, ring -> {ring}), ', '), ')')"
 
 
-def polygons_to_wkt(polys: Column | str, geometry_type: Column | str) -> Column:
+def polygons_to_wkt(polys: str, geometry_type: str) -> Column:
     """Polygon list -> WKT, ``POLYGON (...)`` or ``MULTIPOLYGON ((...))`` by ``geometry_type``."""
-    p = col_of(polys)
-    multi = F.concat(F.lit("MULTIPOLYGON ("),
-                     F.array_join(F.transform(p, _polygon_text), ", "), F.lit(")"))
-    single = F.concat(F.lit("POLYGON "), _polygon_text(p[0]))
-    return F.when(col_of(geometry_type) == POLYGON_TYPE, single).when(p.isNotNull(), multi)
+    p, t = _sql(polys), _sql(geometry_type)
+    multi = (f"concat('MULTIPOLYGON (', "
+             f"array_join(transform({p}, poly -> {_polygon_sql('poly')}), ', '), ')')")
+    single = f"concat('POLYGON ', {_polygon_sql(f'{p}[0]')})"
+    return F.expr(f"CASE WHEN {t} = '{POLYGON_TYPE}' THEN {single} "
+                  f"WHEN {p} IS NOT NULL THEN {multi} END")
 
 
 _NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"

@@ -19,9 +19,8 @@ def first_by_order(df: DataFrame, keys: Sequence[str],
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
     ordered = list(order or []) + [c for c in others if c not in (order or [])]
-    fields = []
-    for i, c in enumerate(ordered):
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_pick"))
-    return picked.select(*keys, *[F.col(f"_pick.v{i}").alias(c) for i, c in enumerate(ordered)]) \
-        .select(*df.columns)
+    fields = ", ".join(f"'n{i}', isnull(`{c}`), 'v{i}', `{c}`" for i, c in enumerate(ordered))
+    picked = df.groupBy(*keys).agg(F.expr(f"min(named_struct({fields}))").alias("_pick"))
+    unpack = {c: f"_pick.v{i}" for i, c in enumerate(ordered)}
+    return picked.selectExpr(*[f"`{c}`" if c in keys else f"{unpack[c]} AS `{c}`"
+                               for c in df.columns])

@@ -52,10 +52,8 @@ def polygon_edges(shapes: DataFrame, id_col: str = "province_id",
              .select(id_col, F.explode("_poly").alias("_ring"))
              .where(F.size("_ring") >= 2)
              .select(id_col, _closed(F.col("_ring")).alias("_ring")))
-    pairs = F.zip_with(
-        F.slice("_ring", 1, F.size("_ring") - 1), F.slice("_ring", 2, F.size("_ring") - 1),
-        lambda a, b: F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"),
-                              b[1].alias("y2")))
+    pairs = F.expr("zip_with(slice(_ring, 1, size(_ring) - 1), slice(_ring, 2, size(_ring) - 1), "
+                   "(a, b) -> named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1]))")
     return rings.select(id_col, F.inline(pairs))
 
 
@@ -72,23 +70,22 @@ def banded_edges(edges: DataFrame, id_col: str = "province_id",
         F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
 
 
-def _on_edge(e: Column, x: Column, y: Column) -> Column:
-    collinear = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) == 0
-    return (collinear
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+def covers_sql(edges: str, min_x: str, max_x: str, x: str, y: str) -> str:
+    """SQL predicate: point (x, y) is inside or on the boundary of the shape whose band
+    edges are ``edges`` (array of structs x1, y1, x2, y2) with x-extent [min_x, max_x].
 
-
-def _crosses(e: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule: the rightward ray from (x, y) crosses edge e (half-open in y)."""
-    straddles = (e["y1"] > y) != (e["y2"] > y)
-    return straddles & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
-
-
-def covers(edges: Column, min_x: Column, max_x: Column, x: Column, y: Column) -> Column:
-    """Point (x, y) is inside or on the boundary of the shape whose band edges are given."""
-    odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != _crosses(e, x, y))
-    return x.between(min_x, max_x) & (F.exists(edges, lambda e: _on_edge(e, x, y)) | odd)
+    On an edge: collinear and within the edge's box. Inside: the rightward ray crosses an odd
+    number of edges, counting an edge when exactly one end lies above y (half-open in y, so
+    a ray through a vertex counts once).
+    """
+    on_edge = (f"(e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0"
+               f" AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)"
+               f" AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)")
+    crosses = (f"(e.y1 > {y}) != (e.y2 > {y})"
+               f" AND {x} < (e.x2 - e.x1) * ({y} - e.y1) / (e.y2 - e.y1) + e.x1")
+    return (f"{x} BETWEEN {min_x} AND {max_x} AND ("
+            f"exists({edges}, e -> {on_edge})"
+            f" OR aggregate({edges}, false, (odd, e) -> odd != ({crosses})))")
 
 
 @dataclass
@@ -129,11 +126,14 @@ def tag_points(points: DataFrame, index: BandIndex, x_col: str = "longitude",
     A point on a shared border gets one row per shape. The point side is never shuffled
     when the index is broadcast, so an upstream partitioning of ``points`` is kept.
     """
-    idx = index.table.select(F.col(index.id_col), F.col("band").alias("_band"),
-                             "min_x", "max_x", "edges")
+    idx = index.table.select(F.col(index.id_col).alias("_shape_id"),
+                             F.col("band").alias("_shape_band"),
+                             F.col("min_x").alias("_min_x"), F.col("max_x").alias("_max_x"),
+                             F.col("edges").alias("_edges"))
     if index.estimated_bytes <= broadcast_bytes:
         idx = F.broadcast(idx)
     pts = points.withColumn("_band", band_of(F.col(y_col), index.bands_per_degree))
-    cond = (pts["_band"] == idx["_band"]) & covers(
-        idx["edges"], idx["min_x"], idx["max_x"], pts[x_col], pts[y_col])
-    return pts.join(idx, cond, "left").select(*points.columns, idx[index.id_col])
+    x, y = f"`{x_col}`", f"`{y_col}`"
+    cond = F.expr(f"_band = _shape_band AND {covers_sql('_edges', '_min_x', '_max_x', x, y)}")
+    return (pts.join(idx, cond, "left")
+            .select(*points.columns, F.col("_shape_id").alias(index.id_col)))

@@ -20,10 +20,11 @@ def dim_province(features: DataFrame) -> DataFrame:
 
     Duplicate ids keep the smallest (name, geometry) so reruns agree.
     """
-    shapes = features.select(
-        "province_id", "province_name",
-        polygons_to_wkt(geojson_polygons("geometry_json"), geojson_type("geometry_json"))
-        .alias("geometry"))
+    parsed = features.select("province_id", "province_name",
+                             geojson_polygons("geometry_json").alias("polygons"),
+                             geojson_type("geometry_json").alias("geometry_type"))
+    shapes = parsed.select("province_id", "province_name",
+                           polygons_to_wkt("polygons", "geometry_type").alias("geometry"))
     return first_by_order(shapes, ["province_id"], ["province_name", "geometry"])
 
 

@@ -46,13 +46,14 @@ def test_wkt_round_trip(spark):
             "(126 28, 128 28, 128 30, 126 30, 126 28)), ((1.5 2.25, 3 4, 5 6, 1.5 2.25)))",
             "POLYGON ((-0.0001 0.5, 139.1234567 35.70008333333333, 1 1, -0.0001 0.5))"]
     df = spark.createDataFrame([(w,) for w in wkts], "w string")
-    back = df.select(polygons_to_wkt(wkt_polygons("w"), wkt_type("w"))).collect()
+    parsed = df.select(wkt_polygons("w").alias("p"), wkt_type("w").alias("t"))
+    back = parsed.select(polygons_to_wkt("p", "t")).collect()
     assert [r[0] for r in back] == wkts
 
 
 def test_ordinate_text(spark):
     df = spark.createDataFrame([(139.0,), (0.0001,), (139.1234567,), (-35.5,), (1e-7,)], "x double")
-    assert [r[0] for r in df.select(ordinate_text(F.col("x"))).collect()] == \
+    assert [r[0] for r in df.select(ordinate_text("x")).collect()] == \
         ["139", "0.0001", "139.1234567", "-35.5", "0.0000001"]
 
 
