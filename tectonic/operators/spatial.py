@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import wkt_polygons
 
-# Bands per degree of latitude. Finer bands mean fewer edges per residual test but more
-# copies of long edges; 10 (0.1 degree) suits national province boundaries.
-DEFAULT_BANDS_PER_DEGREE = 10
-# Upper bound on the estimated in-memory size of the banded edges to broadcast them.
+# Bands per degree of latitude when fixed by the caller; by default it is chosen from the
+# boundary data so that one (shape, band) row holds about TARGET_EDGES_PER_BAND edges.
+DEFAULT_BANDS_PER_DEGREE = None
+TARGET_EDGES_PER_BAND = 64
+MIN_BANDS_PER_DEGREE, MAX_BANDS_PER_DEGREE = 1, 1000
+# Upper bound on the in-memory size of the banded edges to broadcast them.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _BYTES_PER_EDGE = 48
 _BYTES_PER_BAND_ROW = 96
@@ -57,8 +59,7 @@ def polygon_edges(shapes: DataFrame, id_col: str = "province_id",
     return rings.select(id_col, F.inline(pairs))
 
 
-def banded_edges(edges: DataFrame, id_col: str = "province_id",
-                 bands_per_degree: int = DEFAULT_BANDS_PER_DEGREE) -> DataFrame:
+def banded_edges(edges: DataFrame, id_col: str, bands_per_degree: int) -> DataFrame:
     """Edges grouped per (id, band): ``(id, band, min_x, max_x, edges array)``."""
     lo = band_of(F.least("y1", "y2"), bands_per_degree)
     hi = band_of(F.greatest("y1", "y2"), bands_per_degree)
@@ -90,30 +91,54 @@ def covers_sql(edges: str, min_x: str, max_x: str, x: str, y: str) -> str:
 
 @dataclass
 class BandIndex:
-    """Banded edges of a set of shapes plus the measured size used for the join choice."""
+    """Banded edges of a set of shapes, with a proven upper bound on their size."""
     table: DataFrame
     id_col: str
     bands_per_degree: int
-    n_rows: int
-    n_edges: int
+    max_rows: int
+    max_edges: int
 
     @property
     def estimated_bytes(self) -> int:
-        return self.n_edges * _BYTES_PER_EDGE + self.n_rows * _BYTES_PER_BAND_ROW
+        return self.max_edges * _BYTES_PER_EDGE + self.max_rows * _BYTES_PER_BAND_ROW
+
+
+def choose_bands_per_degree(n_edges: int, total_height: float,
+                            target: int = TARGET_EDGES_PER_BAND) -> int:
+    """Resolution giving about ``target`` edges per (shape, band) row on average."""
+    if n_edges == 0 or total_height <= 0:
+        return MIN_BANDS_PER_DEGREE
+    wanted = n_edges / (total_height * target)
+    return int(min(MAX_BANDS_PER_DEGREE, max(MIN_BANDS_PER_DEGREE, round(wanted))))
 
 
 def build_band_index(shapes: DataFrame, id_col: str = "province_id",
                      polygons_col: str = "polygons",
-                     bands_per_degree: int = DEFAULT_BANDS_PER_DEGREE) -> BandIndex:
-    """Band the shapes' edges and measure them (one small job over the boundary data)."""
-    table = banded_edges(polygon_edges(shapes, id_col, polygons_col), id_col, bands_per_degree)
-    stats = table.agg(F.count(F.lit(1)).alias("rows"),
-                      F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
-    return BandIndex(table, id_col, bands_per_degree, int(stats["rows"]), int(stats["edges"]))
+                     bands_per_degree: int | None = DEFAULT_BANDS_PER_DEGREE) -> BandIndex:
+    """Band the shapes' edges. One small job over the boundary data measures the edges:
+    their count, their summed latitude span and each shape's height. From these follow the
+    resolution (unless given) and a proven bound on the banded size — an edge spanning
+    ``dy`` degrees lands in at most ``dy * r + 2`` bands, a shape of height ``h`` has at
+    most ``h * r + 2`` band rows."""
+    edges = polygon_edges(shapes, id_col, polygons_col)
+    per_shape = edges.groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("span"),
+        (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("height"))
+    st = per_shape.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum("span"), F.lit(0.0)).alias("span"),
+                       F.coalesce(F.sum("height"), F.lit(0.0)).alias("height"),
+                       F.count(F.lit(1)).alias("shapes")).first()
+    n, span, height, n_shapes = int(st["n"]), float(st["span"]), float(st["height"]), \
+        int(st["shapes"])
+    r = bands_per_degree or choose_bands_per_degree(n, height)
+    table = banded_edges(edges, id_col, r)
+    return BandIndex(table, id_col, r, max_rows=int(height * r) + 2 * n_shapes,
+                     max_edges=int(span * r) + 2 * n)
 
 
 def band_index_from_wkt(dim: DataFrame, id_col: str = "province_id", wkt_col: str = "geometry",
-                        bands_per_degree: int = DEFAULT_BANDS_PER_DEGREE) -> BandIndex:
+                        bands_per_degree: int | None = DEFAULT_BANDS_PER_DEGREE) -> BandIndex:
     shapes = dim.select(id_col, wkt_polygons(wkt_col).alias("polygons"))
     return build_band_index(shapes, id_col, "polygons", bands_per_degree)
 

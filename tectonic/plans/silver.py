@@ -41,7 +41,7 @@ def fact_projection(keyed: DataFrame) -> DataFrame:
 
 
 def tag_provinces(events: DataFrame, dim: DataFrame,
-                  bands_per_degree: int = DEFAULT_BANDS_PER_DEGREE,
+                  bands_per_degree: int | None = DEFAULT_BANDS_PER_DEGREE,
                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Every event with each province that covers its point (left join; null = offshore)."""
     index = band_index_from_wkt(dim, "province_id", "geometry", bands_per_degree)
@@ -49,7 +49,7 @@ def tag_provinces(events: DataFrame, dim: DataFrame,
 
 
 def fact_events(events: DataFrame, dim: DataFrame,
-                bands_per_degree: int = DEFAULT_BANDS_PER_DEGREE,
+                bands_per_degree: int | None = DEFAULT_BANDS_PER_DEGREE,
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Typed events -> one row per event key, tagged with the smallest covering province.
 

@@ -152,3 +152,31 @@ def test_over_limit_falls_back_to_shuffled_join(spark, dim):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_auto_resolution_on_detailed_boundary(spark):
+    """A finely drawn shape gets finer bands; the result still equals brute force."""
+    import math
+    from tectonic.operators.spatial import build_band_index, choose_bands_per_degree
+    n = 4000
+    ring = [[round(140 + 2 * math.cos(2 * math.pi * k / n) + 0.05 * math.sin(37 * k), 6),
+             round(35 + 2 * math.sin(2 * math.pi * k / n), 6)] for k in range(n)]
+    ring.append(ring[0])
+    shapes = spark.createDataFrame([("C", [[ring]])],
+                                   "province_id string, polygons array<array<array<array<double>>>>")
+    index = build_band_index(shapes)
+    assert index.bands_per_degree == choose_bands_per_degree(n, 4.0) > 1
+    rows, edges = index.table.agg(F.count("*"), F.sum(F.size("edges"))).first()
+    assert rows <= index.max_rows and edges <= index.max_edges
+    rnd = random.Random(7)
+    pts = [(i, rnd.uniform(137.5, 142.5), rnd.uniform(32.5, 37.5)) for i in range(1000)]
+    df = spark.createDataFrame(pts, "pid int, longitude double, latitude double")
+    got = {r["pid"] for r in tag_points(df, index).collect() if r["province_id"]}
+
+    def inside(x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring[:-1], ring[1:]):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+        return odd
+    assert got == {i for i, x, y in pts if inside(x, y)}
