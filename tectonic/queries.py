@@ -11,11 +11,9 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.datetimes import coerce_datetimes
-from .functions.text import is_blank
 from .operators.partitioning import spread
 from .operators.quality import (fk_orphans, fk_set_null, length_violations, null_violations,
                                 pk_violations)
-from .operators.slicing import CATALOGUE_RECORD_LENGTH, slice_columns
 from .operators.upsert import full_refresh, upsert_by_key
 from .plans import bronze, gold, silver
 from .sources.fixtures import blanked_lines, province_geojson, seed_lines
@@ -165,16 +163,7 @@ def q_load_metrics(spark, sf_dir):
     """Lines read, blank lines dropped, short lines (all-null records), typed records —
     one aggregation pass over the raw lines."""
     raw = blanked_lines(spark, events(spark, sf_dir))
-    blank = is_blank("raw_line")
-    cols = slice_columns("raw_line")
-    lat, lon = cols[3], cols[5]
-    typed_ok = ~blank & (F.length(lat) == 6) & (F.length(lon) == 7)
-    return raw.agg(
-        F.count(F.lit(1)).alias("num_lines"),
-        F.count_if(blank).alias("blank_lines"),
-        F.count_if(~blank).alias("records"),
-        F.count_if(~blank & (F.length("raw_line") < CATALOGUE_RECORD_LENGTH)).alias("short_lines"),
-        F.count_if(typed_ok).alias("typed_records"))
+    return bronze.ingest_metrics(raw, file_col=None)
 
 
 def raw_fact_rows(spark, sf_dir):

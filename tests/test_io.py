@@ -26,6 +26,9 @@ def test_text_directory_scan(spark, tmp_dir):
     df = text.read_raw_lines(spark, tmp_dir)
     got = sorted((r.filename, r.raw_line) for r in bronze.nonblank_lines(df).collect())
     assert got == [("a.txt", "one  "), ("a.txt", "three"), ("a.txt", "two"), ("b.txt", "four")]
+    m = bronze.ingest_metrics(df).first().asDict()
+    assert m == {"num_files": 2, "num_lines": 6, "blank_lines": 2, "records": 4,
+                 "short_lines": 4, "typed_records": 0}
 
 
 def test_whole_text(spark, tmp_dir):
