@@ -31,7 +31,9 @@ def legacy_int(c: Column | str) -> Column:
     whole = F.regexp_extract(s, r"^[+-]?([0-9]*)", 1)
     sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     number = F.concat(sign, F.when(whole == "", F.lit("0")).otherwise(whole))
-    return F.when(s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)$"), number.try_cast("int"))
+    fractional = F.when(s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)$"), number.try_cast("int"))
+    # plain integers (the common case) skip the regular expressions
+    return F.coalesce(s.try_cast("int"), fractional)
 
 
 def packed_coordinate(c: Column | str, degree_digits: int) -> Column:
