@@ -11,6 +11,9 @@ def align_to(target_schema, source: DataFrame, columns: Sequence[str]) -> DataFr
     """Source projected to the declared ``columns`` and shaped like the target: target
     columns outside the list are null, types follow the target."""
     cols = set(columns)
+    unknown = cols - set(target_schema.fieldNames())
+    if unknown:
+        raise ValueError(f"columns not in the target table: {sorted(unknown)}")
     return source.select(*[
         (F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target_schema.fields])

@@ -48,8 +48,8 @@ def dim(spark: SparkSession) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     parts = [sliced(spark, sf_dir) for _ in range(copies)]
-    events = silver.typed_events(bronze.union_batches(*parts))
-    return silver.fact_events(events, dim(spark))
+    typed_rows = silver.typed_events(bronze.union_batches(*parts))
+    return silver.fact_events(typed_rows, dim(spark))
 
 
 def q_raw_lines_nonblank(spark, sf_dir):

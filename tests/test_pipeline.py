@@ -80,6 +80,8 @@ def test_upsert_semantics(spark):
     assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
     assert [tuple(r) for r in full_refresh(target, source, ["k", "v"]).orderBy("k").collect()] == \
         [(2, "new2", None), (3, "new3", None)]
+    with pytest.raises(ValueError):
+        upsert_by_key(target, source.withColumn("extra", source.v), ["k"], ["k", "extra"])
 
 
 def test_quality_checks(spark):
