@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import col_of, digits_only, empty_to_null, field, rstrip, strip
+from ..functions.text import (col_of, digits_only, empty_to_null, field, plain_spacing, rstrip,
+                              strip)
 
 KEEP = "keep"                # as sliced (a blank stays a blank)
 STRIP = "strip"              # strip; '' stays ''
@@ -15,11 +16,11 @@ RSTRIP_NULL = "rstrip_null"  # right strip only; '' -> null
 DIGITS = "digits"            # strip; '' -> null; otherwise digits only (may become '')
 
 _CLEANERS = {
-    KEEP: lambda s: s,
-    STRIP: strip,
-    STRIP_NULL: lambda s: empty_to_null(strip(s)),
-    RSTRIP_NULL: lambda s: empty_to_null(rstrip(s)),
-    DIGITS: lambda s: digits_only(empty_to_null(strip(s))),
+    KEEP: lambda s, plain: s,
+    STRIP: lambda s, plain: strip(s, plain),
+    STRIP_NULL: lambda s, plain: empty_to_null(strip(s, plain)),
+    RSTRIP_NULL: lambda s, plain: empty_to_null(rstrip(s, plain)),
+    DIGITS: lambda s, plain: digits_only(empty_to_null(strip(s, plain))),
 }
 
 
@@ -53,17 +54,24 @@ CATALOGUE_LAYOUT = (
 
 
 def slice_columns(line: Column | str, layout=CATALOGUE_LAYOUT,
-                  min_length: int = CATALOGUE_RECORD_LENGTH) -> list[Column]:
+                  min_length: int = CATALOGUE_RECORD_LENGTH,
+                  plain: Column | None = None) -> list[Column]:
     """One column per field. Lines shorter than ``min_length`` give all-null fields (the row
-    is kept); longer lines are accepted and only the laid-out positions are read."""
+    is kept); longer lines are accepted and only the laid-out positions are read.
+    ``plain`` is the per-line :func:`plain_spacing` flag (fast trims when true)."""
     text = col_of(line)
     complete = F.length(text) >= min_length
-    return [F.when(complete, _CLEANERS[f.clean](field(text, f.start, f.end))).alias(f.name)
+    return [F.when(complete, _CLEANERS[f.clean](field(text, f.start, f.end), plain)).alias(f.name)
             for f in layout]
 
 
 def slice_fixed_width(df: DataFrame, line_col: str = "raw_line", layout=CATALOGUE_LAYOUT,
                       min_length: int = CATALOGUE_RECORD_LENGTH,
                       keep: tuple[str, ...] = ()) -> DataFrame:
-    """Narrow transformation: raw line -> sliced string fields (plus pass-through ``keep``)."""
-    return df.select(*keep, *slice_columns(line_col, layout, min_length))
+    """Narrow transformation: raw line -> sliced string fields (plus pass-through ``keep``).
+
+    The whitespace check runs once per line in its own projection (Catalyst keeps it there
+    because every field reads it); the field expressions only test the flag.
+    """
+    flagged = df.select(*keep, line_col, plain_spacing(line_col).alias("_plain"))
+    return flagged.select(*keep, *slice_columns(line_col, layout, min_length, F.col("_plain")))
