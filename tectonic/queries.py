@@ -42,7 +42,9 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim(spark: SparkSession) -> DataFrame:
-    docs = spark.createDataFrame([(province_geojson(),)], "value string")
+    """The fixture provinces as one GeoJSON document (a literal, so repeated uses in one
+    query are the same plan and share their exchanges)."""
+    docs = spark.range(1).select(F.lit(province_geojson()).alias("value"))
     return silver.dim_province(features_from_text(docs))
 
 
