@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import bronze, silver
 from ..schemas import FACT_COLUMNS
+from ..session import scratch_path
 from ..sinks import paths
 
 
@@ -49,9 +50,13 @@ def append_new_facts(spark: SparkSession, batch_events: DataFrame, dim: DataFram
 
 
 def start_fact_ingest(spark: SparkSession, landing: str, dim: DataFrame, fact_path: str,
-                      checkpoint: str, available_now: bool = True,
+                      checkpoint: str | None = None, available_now: bool = True,
                       processing_time: str | None = None) -> StreamingQuery:
-    """Start the ingest; ``available_now`` processes what has landed and stops."""
+    """Start the ingest; ``available_now`` processes what has landed and stops.
+
+    ``checkpoint`` defaults to a folder under the session's shared ``spark.checkpoint.dir``.
+    """
+    checkpoint = checkpoint or scratch_path(spark, "fact_ingest")
     events = typed_event_stream(spark, landing)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -3,14 +3,13 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tectonic.operators.dedup import first_by_order
 from tectonic.operators.quality import (fk_orphans, fk_set_null, length_violations,
                                         null_violations, pk_violations)
 from tectonic.operators.upsert import full_refresh, upsert_by_key
 from tectonic.plans import gold
-from tectonic.queries import QUERIES, dim as fixture_dim, fact as fixture_fact
+from tectonic.queries import QUERIES, fact as fixture_fact
 from tectonic.schemas import FACT_COLUMNS
 
 from conftest import SF001
