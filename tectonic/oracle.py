@@ -260,6 +260,50 @@ SELECT province_name,
   {_pivot_cols()}
 FROM src GROUP BY province_name ORDER BY province_name""")
     q.update(extra_sql())
+    q.update(geometry_sql())
+    return q
+
+
+def _num(e: str) -> str:
+    # shortest decimal text of a double, '139.0' -> '139'
+    return f"regexp_replace(CAST({e} AS VARCHAR), '\\.0$', '')"
+
+
+def _pt(x: str, y: str) -> str:
+    return f"{_num(x)} || ' ' || {_num(y)}"
+
+
+def geometry_sql() -> dict[str, str]:
+    from .sources.fixtures import CELL_HALF_WIDTH as h
+    ring = " || ', ' || ".join(_pt(x, y) for x, y in
+                               (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")))
+    cells = f"""
+WITH cells AS (
+  SELECT line_id, 'EV.' || region_lead AS province_id, region_text AS province_name,
+         CASE WHEN magnitude_type_2 IS NULL THEN 'MultiPolygon' ELSE 'Polygon' END AS geometry_type,
+         longitude + (-{h})::DOUBLE AS x0, longitude + {h}::DOUBLE AS x1,
+         latitude + (-{h})::DOUBLE AS y0, latitude + {h}::DOUBLE AS y1
+  FROM ({typed_sql()}) t WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+shapes AS (
+  SELECT *, CASE WHEN geometry_type = 'Polygon' THEN 'POLYGON ((' || {ring} || '))'
+                 ELSE 'MULTIPOLYGON (((' || {ring} || ')))' END AS geometry
+  FROM cells)
+"""
+    q = {}
+    q["geo_features"] = cells + "SELECT province_id, province_name, geometry_type FROM shapes"
+    q["geo_wkt"] = cells + "SELECT province_id, province_name, geometry FROM shapes"
+    q["geo_wkt_roundtrip"] = cells + \
+        "SELECT province_id, geometry, geometry AS geometry_again FROM shapes"
+    q["geo_edges"] = cells + """
+SELECT province_id, x0 AS x1, y0 AS y1, x1 AS x2, y0 AS y2 FROM shapes
+UNION ALL SELECT province_id, x1, y0, x1, y1 FROM shapes
+UNION ALL SELECT province_id, x1, y1, x0, y1 FROM shapes
+UNION ALL SELECT province_id, x0, y1, x0, y0 FROM shapes"""
+    q["dim_province"] = cells + """
+SELECT province_id, province_name, geometry FROM (
+  SELECT *, row_number() OVER (PARTITION BY province_id
+                               ORDER BY province_name, geometry) AS rn FROM shapes)
+WHERE rn = 1"""
     return q
 
 

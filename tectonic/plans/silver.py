@@ -20,12 +20,17 @@ def dim_province(features: DataFrame) -> DataFrame:
 
     Duplicate ids keep the smallest (name, geometry) so reruns agree.
     """
+    return first_by_order(province_shapes(features), ["province_id"],
+                          ["province_name", "geometry"])
+
+
+def province_shapes(features: DataFrame) -> DataFrame:
+    """Features -> ``(province_id, province_name, geometry WKT)`` (no dedup)."""
     parsed = features.select("province_id", "province_name",
                              geojson_polygons("geometry_json").alias("polygons"),
                              geojson_type("geometry_json").alias("geometry_type"))
-    shapes = parsed.select("province_id", "province_name",
-                           polygons_to_wkt("polygons", "geometry_type").alias("geometry"))
-    return first_by_order(shapes, ["province_id"], ["province_name", "geometry"])
+    return parsed.select("province_id", "province_name",
+                         polygons_to_wkt("polygons", "geometry_type").alias("geometry"))
 
 
 def keyed_events(events: DataFrame) -> DataFrame:

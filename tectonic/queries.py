@@ -15,8 +15,11 @@ from .operators.partitioning import spread
 from .operators.quality import (fk_orphans, fk_set_null, length_violations, null_violations,
                                 pk_violations)
 from .operators.upsert import full_refresh, upsert_by_key
+from .functions.geometry import polygons_to_wkt, wkt_polygons, wkt_type
+from .operators.spatial import polygon_edges
 from .plans import bronze, gold, silver
-from .sources.fixtures import blanked_lines, province_geojson, seed_lines
+from .sources.fixtures import (blanked_lines, event_cell_documents, province_geojson,
+                               seed_lines)
 from .sources.geojson import features_from_text
 from .sources.tables import table
 
@@ -216,3 +219,51 @@ QUERIES.update({
     "fk_orphans": q_fk_orphans,
     "fk_set_null": q_fk_set_null,
 })
+
+
+# --- geometry operators over per-event cells (GeoJSON -> features -> WKT -> edges) ------
+
+def cell_features(spark, sf_dir):
+    docs = event_cell_documents(typed(spark, sf_dir))
+    return features_from_text(docs.select("value"))
+
+
+def q_geo_features(spark, sf_dir):
+    """Features parsed from GeoJSON text: id, name and geometry type."""
+    feats = cell_features(spark, sf_dir)
+    return feats.select("province_id", "province_name",
+                        F.get_json_object("geometry_json", "$.type").alias("geometry_type"))
+
+
+def q_geo_wkt(spark, sf_dir):
+    """Each feature's geometry as WKT."""
+    return silver.province_shapes(cell_features(spark, sf_dir))
+
+
+def q_geo_wkt_roundtrip(spark, sf_dir):
+    """WKT -> polygon arrays -> WKT again (must reproduce the text)."""
+    shapes = silver.province_shapes(cell_features(spark, sf_dir))
+    parsed = shapes.select("province_id", "geometry",
+                           wkt_polygons("geometry").alias("_p"), wkt_type("geometry").alias("_t"))
+    return parsed.select("province_id", "geometry",
+                         polygons_to_wkt("_p", "_t").alias("geometry_again"))
+
+
+def q_geo_edges(spark, sf_dir):
+    """Edges of every ring of every cell."""
+    shapes = silver.province_shapes(cell_features(spark, sf_dir))
+    return polygon_edges(shapes.select("province_id", wkt_polygons("geometry").alias("polygons")))
+
+
+def q_dim_province(spark, sf_dir):
+    """Dimension build: one row per id, smallest (name, geometry) kept."""
+    return silver.dim_province(cell_features(spark, sf_dir))
+
+
+QUERIES.update({
+    "geo_features": q_geo_features,
+    "geo_wkt": q_geo_wkt,
+    "geo_wkt_roundtrip": q_geo_wkt_roundtrip,
+    "geo_edges": q_geo_edges,
+    "dim_province": q_dim_province,
+})

@@ -90,3 +90,34 @@ def province_geojson() -> str:
                  "geometry": {"type": gtype, "coordinates": coords}}
                 for gid, name, gtype, coords in PROVINCE_FEATURES]
     return json.dumps({"type": "FeatureCollection", "features": features})
+
+
+# Half width (degrees) of the square cell drawn around every event for the geometry queries.
+CELL_HALF_WIDTH = 0.005
+
+
+def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> DataFrame:
+    """One GeoJSON FeatureCollection document per typed event: a square cell around the
+    event, id ``EV.<region_lead>`` and name ``region_text`` (ids repeat across events, so the
+    dimension dedup has work to do). Records without a second magnitude type become
+    MultiPolygons, the rest Polygons, so both geometry types occur.
+
+    Output ``(line_id, value)``; a carrier that lets the GeoJSON / WKT operators run over
+    data that grows with ``events``.
+    """
+    x, y = F.col("longitude"), F.col("latitude")
+    ring = F.array(*[F.array(x + dx, y + dy) for dx, dy in
+                     ((-half, -half), (half, -half), (half, half), (-half, half), (-half, -half))])
+    coords = F.to_json(F.array(ring))
+    multi = F.col("magnitude_type_2").isNull()
+    geometry = F.concat(
+        F.lit('{"type": "'), F.when(multi, F.lit("MultiPolygon")).otherwise(F.lit("Polygon")),
+        F.lit('", "coordinates": '),
+        F.when(multi, F.concat(F.lit("["), coords, F.lit("]"))).otherwise(coords), F.lit("}"))
+    props = F.to_json(F.struct(F.concat(F.lit("EV."), F.col("region_lead")).alias("GID_1"),
+                               F.col("region_text").alias("NAME_1")))
+    doc = F.concat(F.lit('{"type": "FeatureCollection", "features": [{"type": "Feature", '
+                         '"properties": '), props, F.lit(', "geometry": '), geometry,
+                   F.lit("}]}"))
+    return (events.where(x.isNotNull() & y.isNotNull())
+            .select("line_id", doc.alias("value")))
