@@ -35,20 +35,47 @@ def geojson_type(geometry_json: Column | str) -> Column:
     return F.get_json_object(col_of(geometry_json), "$.type")
 
 
+GEOMETRY_HEAD = "struct<type:string,coordinates:string>"
+
+
+def geometry_head(geometry_json: Column | str) -> Column:
+    """GeoJSON geometry text -> ``struct<type, coordinates>`` with the coordinates kept as raw
+    JSON text; parse once, then read the coordinates by type with :func:`head_polygons`."""
+    return F.from_json(col_of(geometry_json), GEOMETRY_HEAD)
+
+
+def head_polygons(head: str) -> Column:
+    """Polygon list from a parsed geometry head (column name); other types -> null."""
+    h = _sql(head)
+    polys = (f"CASE WHEN {h}.type = '{MULTIPOLYGON_TYPE}' "
+             f"THEN from_json({h}.coordinates, '{MULTIPOLYGON.simpleString()}') "
+             f"WHEN {h}.type = '{POLYGON_TYPE}' "
+             f"THEN array(from_json({h}.coordinates, '{POLYGON.simpleString()}')) END")
+    return F.expr(_xy_only_sql(polys))
+
+
 def geojson_polygons(geometry_json: str) -> Column:
     """GeoJSON geometry text -> polygon list; types other than (Multi)Polygon -> null."""
     g = _sql(geometry_json)
-    coords = f"get_json_object({g}, '$.coordinates')"
-    gtype = f"get_json_object({g}, '$.type')"
-    polys = (f"CASE WHEN {gtype} = '{MULTIPOLYGON_TYPE}' "
-             f"THEN from_json({coords}, '{MULTIPOLYGON.simpleString()}') "
-             f"WHEN {gtype} = '{POLYGON_TYPE}' "
-             f"THEN array(from_json({coords}, '{POLYGON.simpleString()}')) END")
+    head = f"from_json({g}, '{GEOMETRY_HEAD}')"
+    polys = (f"CASE WHEN {head}.type = '{MULTIPOLYGON_TYPE}' "
+             f"THEN from_json({head}.coordinates, '{MULTIPOLYGON.simpleString()}') "
+             f"WHEN {head}.type = '{POLYGON_TYPE}' "
+             f"THEN array(from_json({head}.coordinates, '{POLYGON.simpleString()}')) END")
     return F.expr(_xy_only_sql(polys))
 
 
 def _ordinate_sql(x: str) -> str:
-    return f"regexp_replace(cast(cast({x} AS decimal(38,20)) AS string), '\\\\.?0+$', '')"
+    """Shortest plain decimal text of a double. Java prints [1e-3, 1e7) in plain notation
+    ("139.0", "35.5"), so only a trailing ".0" needs dropping; other magnitudes (E-notation)
+    go through an exact decimal rendering with trailing zeros removed."""
+    plain = f"cast({x} AS string)"
+    exact = f"regexp_replace(cast(cast({x} AS decimal(38,20)) AS string), '\\\\.?0+$', '')"
+    return (f"CASE WHEN {x} = 0 THEN '0' "
+            f"WHEN abs({x}) >= 0.001D AND abs({x}) < 10000000D THEN "
+            f"CASE WHEN endswith({plain}, '.0') THEN substring({plain}, 1, length({plain}) - 2) "
+            f"ELSE {plain} END "
+            f"ELSE {exact} END")
 
 
 def ordinate_text(x: Column | str) -> Column:
@@ -72,7 +99,8 @@ def polygons_to_wkt(polys: str, geometry_type: str) -> Column:
                   f"WHEN {p} IS NOT NULL THEN {multi} END")
 
 
-_NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
+# A coordinate token: anything up to the next space, comma or parenthesis.
+_TOKEN = r"[^\s,()]+"
 
 
 def wkt_type(wkt: Column | str) -> Column:
@@ -85,7 +113,7 @@ def wkt_polygons(wkt: Column | str) -> Column:
     """WKT (Multi)Polygon -> polygon list, by rewriting the text into JSON arrays."""
     w = col_of(wkt)
     body = F.regexp_replace(w, r"^\s*[A-Za-z]+\s*", "")
-    pairs = F.regexp_replace(body, rf"({_NUMBER})\s+({_NUMBER})(?:\s+{_NUMBER})?", "[$1,$2]")
+    pairs = F.regexp_replace(body, rf"({_TOKEN})\s+({_TOKEN})(?:\s+{_TOKEN})?", "[$1,$2]")
     as_json = F.translate(F.regexp_replace(pairs, r"\s+", ""), "()", "[]")
     kind = wkt_type(w)
     return (F.when(kind == MULTIPOLYGON_TYPE, F.from_json(as_json, MULTIPOLYGON))

@@ -47,16 +47,25 @@ def _closed(ring: Column) -> Column:
         .otherwise(F.concat(ring, F.array(ring[0])))
 
 
+def _each(df: DataFrame, keep: list[str], array_col, alias: str) -> DataFrame:
+    """One row per non-null element. ``explode_outer`` plus a filter on the generated column,
+    because a plain ``explode`` lets Catalyst infer ``size(array) > 0`` and push it below the
+    projection that builds the array, evaluating that (parsing) expression twice."""
+    return (df.select(*keep, F.explode_outer(array_col).alias(alias))
+            .where(F.col(alias).isNotNull()))
+
+
 def polygon_edges(shapes: DataFrame, id_col: str = "province_id",
                   polygons_col: str = "polygons") -> DataFrame:
     """(id, polygon list) -> one row per edge ``(id, x1, y1, x2, y2)`` over all rings."""
-    rings = (shapes.select(id_col, F.explode(polygons_col).alias("_poly"))
-             .select(id_col, F.explode("_poly").alias("_ring"))
+    polys = _each(shapes, [id_col], polygons_col, "_poly")
+    rings = (_each(polys, [id_col], "_poly", "_ring")
              .where(F.size("_ring") >= 2)
              .select(id_col, _closed(F.col("_ring")).alias("_ring")))
     pairs = F.expr("zip_with(slice(_ring, 1, size(_ring) - 1), slice(_ring, 2, size(_ring) - 1), "
                    "(a, b) -> named_struct('x1', a[0], 'y1', a[1], 'x2', b[0], 'y2', b[1]))")
-    return rings.select(id_col, F.inline(pairs))
+    edges = _each(rings, [id_col], pairs, "_edge")
+    return edges.select(id_col, "_edge.x1", "_edge.y1", "_edge.x2", "_edge.y2")
 
 
 def banded_edges(edges: DataFrame, id_col: str, bands_per_degree: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.geometry import geojson_polygons, geojson_type, polygons_to_wkt
+from ..functions.geometry import geometry_head, head_polygons, polygons_to_wkt
 from ..functions.keys import event_key
 from ..operators.dedup import first_by_order
 from ..operators.events import type_events
@@ -26,9 +26,10 @@ def dim_province(features: DataFrame) -> DataFrame:
 
 def province_shapes(features: DataFrame) -> DataFrame:
     """Features -> ``(province_id, province_name, geometry WKT)`` (no dedup)."""
-    parsed = features.select("province_id", "province_name",
-                             geojson_polygons("geometry_json").alias("polygons"),
-                             geojson_type("geometry_json").alias("geometry_type"))
+    heads = features.select("province_id", "province_name",
+                            geometry_head("geometry_json").alias("_g"))
+    parsed = heads.select("province_id", "province_name", head_polygons("_g").alias("polygons"),
+                          F.col("_g.type").alias("geometry_type"))
     return parsed.select("province_id", "province_name",
                          polygons_to_wkt("polygons", "geometry_type").alias("geometry"))
 

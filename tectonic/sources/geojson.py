@@ -21,7 +21,13 @@ def features_from_text(docs: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def explode_features(doc: DataFrame) -> DataFrame:
-    return (doc.select(F.explode("features").alias("feature"))
+    """One row per non-null feature.
+
+    ``explode_outer`` + a filter on the generated column: a plain ``explode`` makes Catalyst
+    infer ``size(features) > 0`` and push it below the JSON parsing, which then runs twice.
+    """
+    return (doc.select(F.explode_outer("features").alias("feature"))
+            .where(F.col("feature").isNotNull())
             .select(F.col("feature.properties.GID_1").alias("province_id"),
                     F.col("feature.properties.NAME_1").alias("province_name"),
                     F.col("feature.geometry").alias("geometry_json")))
