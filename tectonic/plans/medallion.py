@@ -63,3 +63,24 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
 
 def gold_path(root: str, table: str) -> str:
     return paths.join(root, paths.dataset_key("gold", "quake", table, "parquet"))
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    parser = argparse.ArgumentParser(description="Run every pipeline layer.")
+    parser.add_argument("raw_dir")
+    parser.add_argument("geojson")
+    parser.add_argument("root")
+    parser.add_argument("--write-bronze", action="store_true")
+    args = parser.parse_args(argv)
+    spark = build_session()
+    report = run_pipeline(spark, args.raw_dir, args.geojson, args.root, args.write_bronze)
+    print(json.dumps(report, default=str))
+
+
+if __name__ == "__main__":
+    main()
