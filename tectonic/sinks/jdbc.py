@@ -29,6 +29,11 @@ def write_table(df: DataFrame, url: str, table: str, properties: dict | None = N
 
 def _replace(spark: SparkSession, url: str, table: str, new_rows: DataFrame,
              properties: dict | None) -> dict:
+    """Write the complete new contents to a uniquely named stage, then truncate the target
+    and load it from the stage. DataFrame writers commit per task, so this is not one
+    database transaction; the stage is dropped only after the target load succeeded, so a
+    failed load can be repeated from it (``write_table(read_table(stage), ..., truncate)``).
+    """
     stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
     metrics = write_table(new_rows, url, stage, properties)
     staged = read_table(spark, url, stage, properties)
