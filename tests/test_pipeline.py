@@ -102,3 +102,19 @@ def test_registered_query_runs(spark, name):
     df = QUERIES[name](spark, SF001)
     assert df.count() >= 0
     assert len(df.columns) == len(set(df.columns))
+
+
+def test_group_counts_sum_to_fact_rows(spark):
+    from tectonic.queries import dim as fixture_dim
+    fact = fixture_fact(spark, SF001)
+    n = fact.count()
+    d = fixture_dim(spark)
+    assert sum(r["total_quakes"] for r in gold.quakes_by_year(fact).collect()) == n
+    assert sum(r["earthquake_count"] for r in gold.quakes_by_month(fact).collect()) == n
+    assert sum(r["earthquake_count"] for r in gold.quakes_by_province(fact, d).collect()) == n
+    assert sum(r["depth_count"] for r in gold.depth_distribution(fact).collect()) == n
+    assert sum(r["mag_count"] for r in gold.magnitude_distribution(fact).collect()) == n
+    assert sum(r["shindo_count"] for r in gold.shindo_proportion(fact).collect()) == n
+    pivot = gold.province_year_pivot(fact, d).collect()
+    in_range = fact.filter("year(event_time) BETWEEN 2000 AND 2019").count()
+    assert sum(r[str(y)] for r in pivot for y in range(2000, 2020)) == in_range
