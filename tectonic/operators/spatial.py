@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.geometry import wkt_polygons
 
 # Bands per degree of latitude when fixed by the caller; by default it is chosen from the
-# boundary data so that one (shape, band) row holds about TARGET_EDGES_PER_BAND edges.
+# boundary data so that one (shape, band) row holds about TARGET_EDGES_PER_BAND edges while
+# copies of edges spanning several bands add at most about as many edges again.
 DEFAULT_BANDS_PER_DEGREE = None
-TARGET_EDGES_PER_BAND = 64
+TARGET_EDGES_PER_BAND = 4
 MIN_BANDS_PER_DEGREE, MAX_BANDS_PER_DEGREE = 1, 1000
 # Upper bound on the in-memory size of the banded edges to broadcast them.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 _BYTES_PER_EDGE = 48
 _BYTES_PER_BAND_ROW = 96
 
@@ -112,12 +113,16 @@ class BandIndex:
         return self.max_edges * _BYTES_PER_EDGE + self.max_rows * _BYTES_PER_BAND_ROW
 
 
-def choose_bands_per_degree(n_edges: int, total_height: float,
+def choose_bands_per_degree(n_edges: int, total_height: float, total_span: float,
                             target: int = TARGET_EDGES_PER_BAND) -> int:
-    """Resolution giving about ``target`` edges per (shape, band) row on average."""
+    """Resolution giving about ``target`` edges per (shape, band) row on average, limited so
+    that band copies (``total_span * r``) stay below ``n_edges``. Measured on a 4,000-edge
+    shape, 4 edges per row tags points ~4x faster than 60 for 25% more index edges."""
     if n_edges == 0 or total_height <= 0:
         return MIN_BANDS_PER_DEGREE
     wanted = n_edges / (total_height * target)
+    if total_span > 0:
+        wanted = min(wanted, n_edges / total_span)
     return int(min(MAX_BANDS_PER_DEGREE, max(MIN_BANDS_PER_DEGREE, round(wanted))))
 
 
@@ -140,7 +145,7 @@ def build_band_index(shapes: DataFrame, id_col: str = "province_id",
                        F.count(F.lit(1)).alias("shapes")).first()
     n, span, height, n_shapes = int(st["n"]), float(st["span"]), float(st["height"]), \
         int(st["shapes"])
-    r = bands_per_degree or choose_bands_per_degree(n, height)
+    r = bands_per_degree or choose_bands_per_degree(n, height, span)
     table = banded_edges(edges, id_col, r)
     return BandIndex(table, id_col, r, max_rows=int(height * r) + 2 * n_shapes,
                      max_edges=int(span * r) + 2 * n)
