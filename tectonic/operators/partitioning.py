@@ -13,7 +13,11 @@ def spread(df: DataFrame, min_partitions: int | None = None, *keys: str) -> Data
     then spread to ``min_partitions`` (default: the cluster's default parallelism), hashed on
     ``keys`` when given (deterministic on task retry) or round-robin otherwise.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (for example Spark Connect): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
