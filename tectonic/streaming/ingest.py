@@ -39,28 +39,45 @@ def typed_event_stream(spark: SparkSession, landing: str, **options) -> DataFram
 
 
 def append_new_facts(spark: SparkSession, batch_events: DataFrame, dim: DataFrame,
-                     fact_path: str) -> None:
-    """Fact rows of one batch whose key is not stored yet, appended to ``fact_path``."""
+                     fact_path: str | None = None, fact_table: str | None = None) -> None:
+    """Fact rows of one batch whose key is not stored yet, appended to the fact.
+
+    The fact is either a Parquet path or a catalog table; a table bucketed by ``event_id``
+    (see ``sinks.tables.materialize_bucketed``) lets the key lookup read the stored side in
+    place and shuffle only the batch.
+    """
     fresh = silver.fact_events(batch_events, dim)
+    if fact_table:
+        # the table may have been written by another session (the initial load, or an earlier
+        # micro-batch's session): drop any cached file listing before reading the keys
+        spark.catalog.refreshTable(fact_table)
+        known = spark.table(fact_table).select("event_id")
+        fresh.join(known, "event_id", "left_anti").select(*FACT_COLUMNS) \
+            .write.insertInto(fact_table)
+        return
     if paths.exists(spark, fact_path):
         known = spark.read.parquet(fact_path).select("event_id")
         fresh = fresh.join(known, "event_id", "left_anti")
-    out = fresh.select(*FACT_COLUMNS)
-    out.write.mode("append").parquet(fact_path)
+    fresh.select(*FACT_COLUMNS).write.mode("append").parquet(fact_path)
 
 
-def start_fact_ingest(spark: SparkSession, landing: str, dim: DataFrame, fact_path: str,
-                      checkpoint: str | None = None, available_now: bool = True,
-                      processing_time: str | None = None) -> StreamingQuery:
+def start_fact_ingest(spark: SparkSession, landing: str, dim: DataFrame,
+                      fact_path: str | None = None, checkpoint: str | None = None,
+                      available_now: bool = True, processing_time: str | None = None,
+                      fact_table: str | None = None) -> StreamingQuery:
     """Start the ingest; ``available_now`` processes what has landed and stops.
 
+    Micro-batches write through their own session: readers of ``fact_table`` in another
+    session call ``spark.catalog.refreshTable`` to see the new files, as for any table
+    updated elsewhere.
+
     ``checkpoint`` defaults to a folder under the session's shared ``spark.checkpoint.dir``.
     """
     checkpoint = checkpoint or scratch_path(spark, "fact_ingest")
     events = typed_event_stream(spark, landing)
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        append_new_facts(batch.sparkSession, batch, dim, fact_path)
+        append_new_facts(batch.sparkSession, batch, dim, fact_path, fact_table)
 
     writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

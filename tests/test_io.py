@@ -164,3 +164,43 @@ def test_medallion_run_matches_queries(spark, tmp_dir):
         stored = spark.read.parquet(gold_path(os.path.join(tmp_dir, "wh"), table))
         expected = QUERIES[query](spark, SF001)
         assert sorted(map(repr, stored.collect())) == sorted(map(repr, expected.collect())), table
+
+
+def test_streaming_into_bucketed_fact_table(spark, tmp_dir):
+    """Initial load into a fact table bucketed by event_id, then streamed files: only
+    unseen keys are appended, and the key lookup shuffles the batch side only."""
+    from tectonic.plans.medallion import run_pipeline
+    lines = [r.raw_line for r in fixture_lines(spark, SF001).orderBy("line_id").collect()]
+    raw, landing = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "landing")
+    os.makedirs(raw)
+    os.makedirs(landing)
+    with open(os.path.join(raw, "first.txt"), "w") as f:
+        f.write("\n".join(lines[:300]) + "\n")
+    with open(os.path.join(landing, "more.txt"), "w") as f:
+        f.write("\n".join(lines[200:500]) + "\n")
+    geo = os.path.join(tmp_dir, "geo.json")
+    with open(geo, "w") as f:
+        f.write(province_geojson())
+    spark.sql("CREATE DATABASE IF NOT EXISTS stream_t")
+    run_pipeline(spark, raw, geo, os.path.join(tmp_dir, "wh"), fact_table="stream_t.fact",
+                 fact_buckets=4)
+    n0 = spark.table("stream_t.fact").count()
+    start_fact_ingest(spark, landing, fixture_dim(spark), fact_table="stream_t.fact",
+                      checkpoint=os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
+    spark.catalog.refreshTable("stream_t.fact")
+    ids = [r.event_id for r in spark.table("stream_t.fact").select("event_id").collect()]
+    assert len(ids) == len(set(ids)) > n0
+    from tectonic.plans import silver
+    from tectonic.operators.slicing import slice_fixed_width
+    batch = spark.createDataFrame([(x,) for x in lines[:500]], "raw_line string")
+    expected = silver.fact_events(silver.typed_events(slice_fixed_width(batch)), fixture_dim(spark))
+    assert sorted(ids) == sorted(r.event_id for r in expected.select("event_id").collect())
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = spark.createDataFrame([("x",)], "event_id string")
+        plan = small.join(spark.table("stream_t.fact").select("event_id"), "event_id",
+                          "left_anti")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
