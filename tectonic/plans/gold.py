@@ -89,3 +89,57 @@ def province_year_pivot(fact: DataFrame, dim: DataFrame) -> DataFrame:
     named = _named_counts(fact, dim, F.year("event_time").alias("event_year"))
     return pivot_counts(named, "province_name", "event_year", PIVOT_YEARS) \
         .orderBy(F.asc_nulls_last("province_name"))
+
+
+# --- all models from one pass over the fact ---------------------------------------------
+
+def summary_counts(fact: DataFrame) -> DataFrame:
+    """Event counts per (year, month, province id, depth class, magnitude class, intensity
+    class). Every gold model is a count, so each one is a roll-up of this table; its size is
+    bounded by the product of those small domains, not by the number of events, and it is
+    computed with one scan of the fact (partial aggregation before the shuffle)."""
+    return fact.groupBy(
+        F.year("event_time").alias("event_year"), F.month("event_time").alias("event_month"),
+        "province_id", bin_label("depth_km", DEPTH_BINS).alias("depth_range"),
+        bin_label("magnitude_1", MAGNITUDE_BINS).alias("magnitude_range"), "shindo_value",
+    ).agg(_count().alias("n"))
+
+
+def _share_from_counts(counts: DataFrame, label: str, count_name: str, pct_name: str
+                       ) -> DataFrame:
+    per = counts.groupBy(label).agg(F.sum("n").cast("double").alias(count_name))
+    total = per.select(F.sum(count_name)).scalar()
+    return (per.select(label, count_name, percent_of_double(count_name, total).alias(pct_name))
+            .orderBy(F.asc_nulls_last(label)))
+
+
+def models_from_counts(counts: DataFrame, dim: DataFrame) -> dict[str, DataFrame]:
+    """The seven gold models as roll-ups of :func:`summary_counts` (same results as the
+    per-model functions above, which aggregate the fact directly)."""
+    by_year = (counts.groupBy("event_year").agg(F.sum("n").alias("total_quakes"))
+               .orderBy(F.asc_nulls_last("event_year")))
+    monthly = counts.groupBy("event_month").agg(F.sum("n").alias("earthquake_count"))
+    month_total = monthly.select(F.sum("earthquake_count")).scalar()
+    by_month = (monthly.select("event_month", "earthquake_count",
+                               percent_exact("earthquake_count", month_total).alias("percentage"))
+                .orderBy(F.asc_nulls_last("event_month")))
+    names = dim.select("province_id", "province_name")
+    named = (counts.groupBy("province_id", "event_year").agg(F.sum("n").alias("n"))
+             .join(names, "province_id", "left")
+             .withColumn("province_name", F.coalesce("province_name", F.lit(OFFSHORE))))
+    by_province = (named.groupBy("province_name").agg(F.sum("n").alias("earthquake_count"))
+                   .orderBy(F.desc("earthquake_count"), F.asc("province_name")))
+    pivot = pivot_counts(named, "province_name", "event_year", PIVOT_YEARS) \
+        .orderBy(F.asc_nulls_last("province_name"))
+    return {
+        "gold_total_quakes_by_year": by_year,
+        "gold_earthquake_by_month": by_month,
+        "gold_earthquake_depth_distribution":
+            _share_from_counts(counts, "depth_range", "depth_count", "percentage"),
+        "gold_earthquake_magnitude_distribution":
+            _share_from_counts(counts, "magnitude_range", "mag_count", "percentage"),
+        "gold_quake_shindo_proportion":
+            _share_from_counts(counts, "shindo_value", "shindo_count", "shindo_percentage"),
+        "gold_earthquake_by_province": by_province,
+        "gold_earthquake_by_province_year": pivot,
+    }

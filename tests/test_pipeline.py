@@ -118,3 +118,16 @@ def test_group_counts_sum_to_fact_rows(spark):
     pivot = gold.province_year_pivot(fact, d).collect()
     in_range = fact.filter("year(event_time) BETWEEN 2000 AND 2019").count()
     assert sum(r[str(y)] for r in pivot for y in range(2000, 2020)) == in_range
+
+
+def test_models_from_one_summary_equal_direct_models(spark):
+    from tectonic.plans.medallion import GOLD_MODELS
+    from tectonic.queries import dim as fixture_dim
+    fact = fixture_fact(spark, SF001)
+    d = fixture_dim(spark)
+    rolled = gold.models_from_counts(gold.summary_counts(fact), d)
+    assert set(rolled) == set(GOLD_MODELS)
+    for table, (model, needs_dim) in GOLD_MODELS.items():
+        direct = model(fact, d) if needs_dim else model(fact)
+        assert rolled[table].columns == direct.columns, table
+        assert [tuple(r) for r in rolled[table].collect()] == [tuple(r) for r in direct.collect()], table
