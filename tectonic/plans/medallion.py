@@ -11,9 +11,12 @@ each gold model scans the stored fact instead of re-deriving it.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
+from ..functions.text import is_blank
+from ..operators.slicing import CATALOGUE_RECORD_LENGTH
 from ..sinks import paths
+from ..sinks.metrics import observed
 from ..sinks.files import write_dataset
 from ..sinks.tables import materialize_bucketed
 from ..sources.geojson import read_features
@@ -43,8 +46,12 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
     ingest appends to.
     """
     report: dict = {}
-    lines = read_raw_lines(spark, raw_dir)
-    report["ingest"] = bronze.ingest_metrics(lines).first().asDict()
+    raw = read_raw_lines(spark, raw_dir)
+    # load metrics ride along with the first write that scans the lines (no extra pass)
+    blank = is_blank("raw_line")
+    lines, line_obs = observed(
+        raw, "raw_lines", blank_lines=F.count_if(blank),
+        short_lines=F.count_if(~blank & (F.length("raw_line") < CATALOGUE_RECORD_LENGTH)))
     records = bronze.sliced_records(bronze.nonblank_lines(lines))
     if write_bronze:
         report["bronze_raw_sliced"] = write_dataset(records, root, "bronze", "quake",
@@ -53,6 +60,12 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
     events = silver.typed_events(records)
     report["silver_quake_event"] = write_dataset(events, root, "silver", "quake",
                                                  "silver_quake_event")
+    seen = line_obs.get
+    report["ingest"] = {"num_files": len(raw.inputFiles()), "num_lines": seen["records"],
+                        "blank_lines": seen["blank_lines"],
+                        "records": seen["records"] - seen["blank_lines"],
+                        "short_lines": seen["short_lines"],
+                        "typed_records": report["silver_quake_event"]["records"]}
     dim = silver.dim_province(read_features(spark, geojson_path))
     report["silver_dim_japan_province"] = write_dataset(dim, root, "silver", "quake",
                                                         "silver_dim_japan_province")

@@ -151,6 +151,8 @@ def test_medallion_run_matches_queries(spark, tmp_dir):
         f.write(province_geojson())
     report = run_pipeline(spark, raw, geo, os.path.join(tmp_dir, "wh"))
     assert report["ingest"]["num_files"] == 3
+    from tectonic.sources.text import read_raw_lines
+    assert report["ingest"] == bronze.ingest_metrics(read_raw_lines(spark, raw)).first().asDict()
     assert report["silver_dim_japan_province"]["records"] == 5
     names = {"gold_total_quakes_by_year": "quakes_by_year",
              "gold_earthquake_by_month": "quakes_by_month",
