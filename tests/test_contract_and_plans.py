@@ -51,3 +51,26 @@ def test_hot_key_is_combined_map_side(spark):
     rows = {r["k"]: (r["v"], r["w"]) for r in out.collect()}
     assert len(rows) == 1 + n - n // 3
     assert rows["hot"] == (0, 0)
+
+
+def test_spread_only_under_split_inputs(spark):
+    from tectonic.operators.partitioning import spread
+    many = spark.range(0, 1000, 1, 64)
+    assert spread(many) is many
+    one = spark.range(0, 1000, 1, 1)
+    spread_one = spread(one, 8, "id")
+    assert spread_one.rdd.getNumPartitions() == 8
+    assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
+
+
+def test_checkpoint_dir_reads_session_setting(spark, tmp_dir):
+    from tectonic.session import checkpoint_dir
+    previous = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", tmp_dir)
+    try:
+        assert checkpoint_dir(spark) == tmp_dir
+    finally:
+        if previous:
+            spark.conf.set("spark.checkpoint.dir", previous)
+        else:
+            spark.conf.unset("spark.checkpoint.dir")
