@@ -47,20 +47,20 @@ def build_session(master: str | None = None, app_name: str = "tectonic",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of the session.
 
-    A cluster must name a shared (HDFS/object store) folder there. Only when the setting is
-    absent — local tests — a private temporary folder is created and registered.
+    A cluster names it with ``spark.checkpoint.dir`` (shared storage: HDFS or an object
+    store), which Spark applies when the context starts; a folder set later with
+    ``setCheckpointDir`` is honoured too. Only when neither exists — local tests — a private
+    temporary folder is registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tectonic-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tectonic-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
