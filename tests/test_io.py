@@ -206,3 +206,39 @@ def test_streaming_into_bucketed_fact_table(spark, tmp_dir):
         assert plan.count("Exchange hashpartitioning") == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_write_and_bronze_output(spark, tmp_dir):
+    df = spark.range(20).select((F.col("id") % 3).alias("part"), F.col("id"))
+    m = files.write_parquet(df, os.path.join(tmp_dir, "p"), partition_by=("part",))
+    assert m["records"] == 20
+    assert sorted(n for n in os.listdir(os.path.join(tmp_dir, "p")) if n.startswith("part=")) == \
+        ["part=0", "part=1", "part=2"]
+    assert spark.read.parquet(os.path.join(tmp_dir, "p")).where("part = 2").count() == 6
+
+    from tectonic.plans.medallion import run_pipeline
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    lines = [r.raw_line for r in fixture_lines(spark, SF001).orderBy("line_id").limit(50).collect()]
+    with open(os.path.join(raw, "a.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    geo = os.path.join(tmp_dir, "geo.json")
+    with open(geo, "w") as f:
+        f.write(province_geojson())
+    report = run_pipeline(spark, raw, geo, os.path.join(tmp_dir, "wh"), write_bronze=True)
+    assert report["bronze_raw_sliced"]["records"] == 50
+    assert report["ingest"]["num_lines"] == 50
+
+
+def test_streaming_default_checkpoint(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    lines = [r.raw_line for r in fixture_lines(spark, SF001).orderBy("line_id").limit(40).collect()]
+    with open(os.path.join(landing, "a.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    spark.sparkContext.setCheckpointDir(os.path.join(tmp_dir, "shared"))
+    q = start_fact_ingest(spark, landing, fixture_dim(spark), os.path.join(tmp_dir, "fact"))
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert spark.read.parquet(os.path.join(tmp_dir, "fact")).count() > 0
+    assert os.path.isdir(os.path.join(tmp_dir, "shared"))
