@@ -181,3 +181,32 @@ def test_auto_resolution_on_detailed_boundary(spark):
                 odd = not odd
         return odd
     assert got == {i for i, x, y in pts if inside(x, y)}
+
+
+def test_hot_band_on_shuffled_path_is_split(spark, dim):
+    """Index forced off broadcast, a third of the points in one band: AQE marks the band
+    join as a skew join (the hot band is split across tasks) and results stay exact."""
+    from tectonic.operators.spatial import band_index_from_wkt
+    idx = band_index_from_wkt(dim)
+    pts = spark.range(30000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(27.5))
+        .otherwise(24 + (F.col("id") % 200) / 10.0).alias("latitude"),
+        (120 + (F.col("id") % 300) / 10.0).alias("longitude"))
+    expected = sorted(map(tuple, tag_points(pts, idx).collect()))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = tag_points(pts, idx, broadcast_bytes=0)
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert sorted(map(tuple, rows)) == expected
