@@ -43,7 +43,7 @@ def length_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
 def fk_orphans(child: DataFrame, parent: DataFrame, key: str,
                parent_key: str | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent row (a null key is allowed)."""
-    parent_keys = parent.select(F.col(parent_key or key).alias(key))
+    parent_keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return child.filter(F.col(key).isNotNull()).join(parent_keys, key, "left_anti")
 
 

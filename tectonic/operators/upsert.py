@@ -30,7 +30,9 @@ def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     columns = list(columns or source.columns)
     staged = source.select(*columns)
-    survivors = target.join(staged.select(*keys), on=list(keys), how="left_anti")
+    # only the distinct source keys decide the delete; de-duplicating them first (a partial
+    # aggregate) keeps a key repeated across many source rows from landing in one task
+    survivors = target.join(staged.select(*keys).distinct(), on=list(keys), how="left_anti")
     return survivors.unionByName(align_to(target.schema, staged, columns))
 
 

@@ -131,3 +131,17 @@ def test_models_from_one_summary_equal_direct_models(spark):
         direct = model(fact, d) if needs_dim else model(fact)
         assert rolled[table].columns == direct.columns, table
         assert [tuple(r) for r in rolled[table].collect()] == [tuple(r) for r in direct.collect()], table
+
+
+def test_upsert_source_with_hot_key(spark):
+    from pyspark.sql import functions as F
+    target = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v"))
+    source = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 1000).cast("int").alias("k"),
+        F.lit("new").alias("v"))
+    out = upsert_by_key(target, source, ["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[k" in plan          # source keys de-duplicated before the join
+    rows = out.collect()
+    assert len(rows) == 99 + 3000                   # key 7 replaced; every source row inserted
+    assert sum(1 for r in rows if r.k == 7 and r.v == "new") == 1000
