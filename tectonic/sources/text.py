@@ -5,15 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
+# File suffixes of compression codecs Hadoop cannot split (one task per file).
+NON_SPLITTABLE_SUFFIXES = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
+
+
+def read_raw_lines(spark: SparkSession, path: str, spread_unsplittable: bool = True
+                   ) -> DataFrame:
     """Every line of every regular file directly in ``path`` -> ``(filename, raw_line)``.
 
-    Splittable: large files are read by many tasks. CR, LF and CRLF all end a line and
-    trailing spaces are kept. Spark skips files whose names start with ``.`` or ``_``.
+    Splittable: large plain (or bzip2) files are read by many tasks. CR, LF and CRLF all end
+    a line and trailing spaces are kept. Spark skips files whose names start with ``.`` or
+    ``_``. A file in a codec that cannot be split is decompressed by a single task; when
+    such files are present the lines are redistributed round-robin right after the scan, so
+    the per-line work of one big compressed file does not stay in that one task.
     """
-    return (spark.read.option("recursiveFileLookup", "false").text(path)
-            .select(F.col("_metadata.file_name").alias("filename"),
-                    F.col("value").alias("raw_line")))
+    lines = (spark.read.option("recursiveFileLookup", "false").text(path)
+             .select(F.col("_metadata.file_name").alias("filename"),
+                     F.col("value").alias("raw_line")))
+    if spread_unsplittable and any(f.lower().endswith(NON_SPLITTABLE_SUFFIXES)
+                                   for f in lines.inputFiles()):
+        lines = lines.repartition(spark.sparkContext.defaultParallelism * 4)
+    return lines
 
 
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:

@@ -242,3 +242,14 @@ def test_streaming_default_checkpoint(spark, tmp_dir):
     assert q.exception() is None
     assert spark.read.parquet(os.path.join(tmp_dir, "fact")).count() > 0
     assert os.path.isdir(os.path.join(tmp_dir, "shared"))
+
+
+def test_gzip_catalogue_is_redistributed(spark, tmp_dir):
+    import gzip
+    lines = [r.raw_line for r in fixture_lines(spark, SF001).orderBy("line_id").collect()]
+    with gzip.open(os.path.join(tmp_dir, "big.txt.gz"), "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    df = text.read_raw_lines(spark, tmp_dir)
+    assert df.rdd.getNumPartitions() > 1
+    assert sorted(r.raw_line for r in df.collect()) == sorted(lines)
+    assert text.read_raw_lines(spark, tmp_dir, spread_unsplittable=False).rdd.getNumPartitions() == 1
