@@ -1,0 +1 @@
+"""Column expressions (no DataFrame state): text cleaning, parsing, keys, bins, geometry."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame building blocks: slicing, typing, spatial join, dedup, upsert, quality."""

@@ -1,0 +1 @@
+"""Writers: Parquet / JSON / binary datasets, catalog tables, JDBC, load metrics."""

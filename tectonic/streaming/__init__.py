@@ -1,0 +1 @@
+"""Structured Streaming ingest of newly landed catalogue files."""

@@ -1,3 +1,5 @@
+"""Shared pytest fixtures: one local session (UI off, 8 shuffle partitions) and temp folders."""
+
 import os
 import sys
 import tempfile
