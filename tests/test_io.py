@@ -23,6 +23,8 @@ def test_text_directory_scan(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "b.txt"), "w") as f:
         f.write("four\n")
     os.mkdir(os.path.join(tmp_dir, "sub"))
+    with open(os.path.join(tmp_dir, "sub", "nested.txt"), "w") as f:
+        f.write("nested line\n")                      # not read: the scan is not recursive
     df = text.read_raw_lines(spark, tmp_dir)
     got = sorted((r.filename, r.raw_line) for r in bronze.nonblank_lines(df).collect())
     assert got == [("a.txt", "one  "), ("a.txt", "three"), ("a.txt", "two"), ("b.txt", "four")]
