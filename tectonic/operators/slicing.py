@@ -6,8 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import (col_of, digits_only, empty_to_null, field, plain_spacing, rstrip,
-                              strip)
+from ..functions.text import PY_WHITESPACE, plain_spacing
 
 KEEP = "keep"                # as sliced (a blank stays a blank)
 STRIP = "strip"              # strip; '' stays ''
@@ -15,13 +14,6 @@ STRIP_NULL = "strip_null"    # strip; '' -> null
 RSTRIP_NULL = "rstrip_null"  # right strip only; '' -> null
 DIGITS = "digits"            # strip; '' -> null; otherwise digits only (may become '')
 
-_CLEANERS = {
-    KEEP: lambda s, plain: s,
-    STRIP: lambda s, plain: strip(s, plain),
-    STRIP_NULL: lambda s, plain: empty_to_null(strip(s, plain)),
-    RSTRIP_NULL: lambda s, plain: empty_to_null(rstrip(s, plain)),
-    DIGITS: lambda s, plain: digits_only(empty_to_null(strip(s, plain))),
-}
 
 
 @dataclass(frozen=True)
@@ -53,16 +45,46 @@ CATALOGUE_LAYOUT = (
 )
 
 
-def slice_columns(line: Column | str, layout=CATALOGUE_LAYOUT,
+def _ws_literal() -> str:
+    return "'" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE) + "'"
+
+
+def _strip_sql(s: str, plain: str | None, trailing_only: bool) -> str:
+    side = "TRAILING" if trailing_only else "BOTH"
+    full = f"TRIM({side} {_ws_literal()} FROM {s})"
+    if plain is None:
+        return full
+    fast = f"TRIM({side} FROM {s})"
+    return f"CASE WHEN {plain} THEN {fast} ELSE {full} END"
+
+
+def _field_sql(line: str, f: FieldSpec, min_length: int, plain: str | None) -> str:
+    s = f"substring({line}, {f.start + 1}, {f.end - f.start})"
+    if f.clean == KEEP:
+        v = s
+    elif f.clean == STRIP:
+        v = _strip_sql(s, plain, False)
+    elif f.clean == STRIP_NULL:
+        v = f"nullif({_strip_sql(s, plain, False)}, '')"
+    elif f.clean == RSTRIP_NULL:
+        v = f"nullif({_strip_sql(s, plain, True)}, '')"
+    elif f.clean == DIGITS:
+        v = f"regexp_replace(nullif({_strip_sql(s, plain, False)}, ''), '[^\\\\p{{Nd}}]', '')"
+    else:
+        raise ValueError(f"unknown cleaning rule {f.clean!r}")
+    return f"CASE WHEN length({line}) >= {min_length} THEN {v} END"
+
+
+def slice_columns(line: str = "raw_line", layout=CATALOGUE_LAYOUT,
                   min_length: int = CATALOGUE_RECORD_LENGTH,
-                  plain: Column | None = None) -> list[Column]:
+                  plain: str | None = None) -> list[Column]:
     """One column per field. Lines shorter than ``min_length`` give all-null fields (the row
     is kept); longer lines are accepted and only the laid-out positions are read.
-    ``plain`` is the per-line :func:`plain_spacing` flag (fast trims when true)."""
-    text = col_of(line)
-    complete = F.length(text) >= min_length
-    return [F.when(complete, _CLEANERS[f.clean](field(text, f.start, f.end), plain)).alias(f.name)
-            for f in layout]
+    ``plain`` names the per-line :func:`plain_spacing` flag column (fast trims when true).
+    Each field is one SQL expression built from the spec (cheap to construct)."""
+    ln = f"`{line}`"
+    pl = f"`{plain}`" if plain else None
+    return [F.expr(_field_sql(ln, f, min_length, pl)).alias(f.name) for f in layout]
 
 
 def slice_fixed_width(df: DataFrame, line_col: str = "raw_line", layout=CATALOGUE_LAYOUT,
@@ -74,4 +96,4 @@ def slice_fixed_width(df: DataFrame, line_col: str = "raw_line", layout=CATALOGU
     because every field reads it); the field expressions only test the flag.
     """
     flagged = df.select(*keep, line_col, plain_spacing(line_col).alias("_plain"))
-    return flagged.select(*keep, *slice_columns(line_col, layout, min_length, F.col("_plain")))
+    return flagged.select(*keep, *slice_columns(line_col, layout, min_length, "_plain"))
