@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import paths
@@ -46,6 +48,12 @@ def write_text_document(spark: SparkSession, text: str, path: str) -> dict:
     return {"path": path, "type": "json", "records": 1}
 
 
+def write_json_document(spark: SparkSession, obj, path: str) -> dict:
+    """A small dict / list as one JSON document (UTF-8, indented), like a configuration or
+    boundary file; larger data goes through :func:`write_json_records`."""
+    return write_text_document(spark, json.dumps(obj, ensure_ascii=False, indent=2), path)
+
+
 def write_binary(df: DataFrame, path: str, path_col: str = "path",
                  content_col: str = "content") -> dict:
     """Binary objects as ``(path string, content binary)`` rows in Parquet."""

@@ -64,6 +64,10 @@ def test_binary_and_json_sinks(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "raw.dat"), "wb") as f:
         f.write(b"\x05\x06")
     assert datasets.read_binary(spark, os.path.join(tmp_dir, "raw.dat")).first().content == b"\x05\x06"
+    doc = {"name": "Ōsaka", "ids": [1, 2]}
+    files.write_json_document(spark, doc, os.path.join(tmp_dir, "doc.json"))
+    back = spark.read.option("multiLine", True).json(os.path.join(tmp_dir, "doc.json")).first()
+    assert back["name"] == "Ōsaka" and list(back["ids"]) == [1, 2]
     m = files.write_json_records(spark.range(3), os.path.join(tmp_dir, "recs.json"))
     assert m["records"] == 3 and spark.read.json(os.path.join(tmp_dir, "recs.json")).count() == 3
 
