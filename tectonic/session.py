@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # expressions generated as SQL text use standard backslash escapes in string literals
     "spark.sql.parser.escapedStringLiterals": "false",
+    # strict java.time parsing for the event time; standard decimal result scales for shares
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
