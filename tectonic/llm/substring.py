@@ -127,11 +127,11 @@ def _open_windows(window: int, period: int, text_at: int):
     return run
 
 
-def _cut(window: int, period: int, text_at: int, width: int, names: list[str], one_space: bool):
+def _cut(window: int, period: int, text_at: int, names: list[str], one_space: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_at).cast(pa.binary()).to_pylist()
-            marks, repeated = batch.column(width), batch.column(width + 1)
+            columns, marks, repeated = batch.column(0).flatten(), batch.column(1), batch.column(2)
+            texts = columns[text_at].cast(pa.binary()).to_pylist()
             sizes, removed, out = [], [], []
             for r, raw in enumerate(texts):
                 if marks[r].is_valid or repeated[r].is_valid:
@@ -166,7 +166,6 @@ def _cut(window: int, period: int, text_at: int, width: int, names: list[str], o
                     if one_space:
                         raw = b" ".join(words)
                 out.append(raw)
-            columns = [batch.column(c) for c in range(width)]
             columns[text_at] = pa.array(out, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64())],
@@ -208,5 +207,5 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
     repeated = found.join(earliest, ["one", "two"]).where("doc_id > low") \
         .groupBy("doc_id", "print").agg(F.collect_list("place").alias("repeated"))
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
-    return marked.join(repeated, ["doc_id", "print"], "left").select("row.*", "marks", "repeated").mapInArrow(
-        _cut(window, period, text_at, len(docs.columns), docs.columns, one_space), schema)
+    return marked.join(repeated, ["doc_id", "print"], "left").select("row", "marks", "repeated").mapInArrow(
+        _cut(window, period, text_at, docs.columns, one_space), schema)

@@ -145,16 +145,17 @@ def _sort_shard(length: int, memory: int):
     return run
 
 
-def _cut(text_at: int, width: int, names: list[str]):
+def _cut(text_at: int, names: list[str]):
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            columns, cover = batch.column(0).flatten(), batch.column(1)
             sizes, removed, spans, kept = [], [], [], []
-            for r, raw in enumerate(batch.column(text_at).cast(pa.binary()).to_pylist()):
+            for r, raw in enumerate(columns[text_at].cast(pa.binary()).to_pylist()):
                 raw, own, rest, last = raw or b"", [], [], 0
-                if batch.column(width)[r].is_valid:
-                    for low, high in sorted((s["low"], s["high"]) for s in batch.column(width)[r].as_py()):
+                if cover[r].is_valid:
+                    for low, high in sorted((s["low"], s["high"]) for s in cover[r].as_py()):
                         if own and low <= own[-1]["end"]:
                             own[-1]["end"] = max(own[-1]["end"], high)
                         else:
@@ -168,7 +169,7 @@ def _cut(text_at: int, width: int, names: list[str]):
                 removed.append(len(raw) - len(kept[-1]))
                 spans.append(own)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:width], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+                [*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(spans, spans_type), pa.array(kept, pa.binary())],
                 [*names, "n_bytes", "n_removed", "spans", "kept"])
     return run
@@ -218,5 +219,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, shard_b
                          StructField("spans", ArrayType(StructType([StructField("start", LongType()),
                                                                     StructField("end", LongType())]))),
                          StructField("kept", BinaryType())])
-    return keyed.join(spans, ["doc", "print"], "left").select("row.*", "cover").mapInArrow(
-        _cut(text_at, len(docs.columns), docs.columns), schema)
+    return keyed.join(spans, ["doc", "print"], "left").select("row", "cover").mapInArrow(
+        _cut(text_at, docs.columns), schema)
