@@ -70,7 +70,7 @@ def _ordinate_sql(x: str) -> str:
     ("139.0", "35.5"), so only a trailing ".0" needs dropping; other magnitudes (E-notation)
     go through an exact decimal rendering with trailing zeros removed."""
     plain = f"cast({x} AS string)"
-    exact = f"regexp_replace(cast(cast({x} AS decimal(38,20)) AS string), '\\\\.?0+$', '')"
+    exact = f"regexp_replace(cast(try_cast({x} AS decimal(38,20)) AS string), '\\\\.?0+$', '')"
     return (f"CASE WHEN {x} = 0 THEN '0' "
             f"WHEN abs({x}) >= 0.001D AND abs({x}) < 10000000D THEN "
             f"CASE WHEN endswith({plain}, '.0') THEN substring({plain}, 1, length({plain}) - 2) "

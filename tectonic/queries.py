@@ -11,21 +11,20 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions.datetimes import coerce_datetimes
-from .operators.partitioning import spread
 from .operators.quality import (fk_orphans, fk_set_null, length_violations, null_violations,
                                 pk_violations)
 from .operators.upsert import full_refresh, upsert_by_key
 from .functions.geometry import polygons_to_wkt, wkt_polygons, wkt_type
 from .operators.spatial import polygon_edges
 from .plans import bronze, gold, silver
-from .sources.fixtures import (blanked_lines, event_cell_documents, province_geojson,
+from .sources.fixtures import (blanked_lines, dealt, event_cell_documents, province_geojson,
                                seed_lines)
 from .sources.geojson import features_from_text
 from .sources.tables import table
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "events").select("event_id", "user_id"), None, "event_id")
+    return dealt(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -15,8 +16,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # expressions generated as SQL text use standard backslash escapes in string literals
-    "spark.sql.parser.escapedStringLiterals": "false",
     # strict java.time parsing for the event time; standard decimal result scales for shares
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.decimalOperations.allowPrecisionLoss": "true",
@@ -56,14 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names it with ``spark.checkpoint.dir`` (shared storage: HDFS or an object
     store), which Spark applies when the context starts; a folder set later with
-    ``setCheckpointDir`` is honoured too. Only when neither exists — local tests — a private
-    temporary folder is registered.
+    ``setCheckpointDir`` is honoured too. Only a local master may go without: there a private
+    temporary folder is registered; on a cluster such a folder would be lost or unseen by
+    the executors, so its absence is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tectonic-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -34,8 +34,14 @@ def write_dataset(df: DataFrame, root: str, layer: str, schema: str, table: str,
                          max_files)
 
 
+def _require_suffix(path: str, suffix: str) -> None:
+    if not path.rstrip("/").endswith(suffix):
+        raise ValueError(f"the path must end in {suffix}, from which readers tell the format")
+
+
 def write_json_records(df: DataFrame, path: str) -> dict:
-    """Rows as JSON lines (dicts / lists of records)."""
+    """Rows as JSON lines (dicts / lists of records), under a ``.jsonl`` path."""
+    _require_suffix(path, ".jsonl")
     out, obs = observed(df)
     out.write.mode("overwrite").json(path)
     return {"path": path, "type": "json", "records": obs.get["records"]}
@@ -56,7 +62,9 @@ def write_json_document(spark: SparkSession, obj, path: str) -> dict:
 
 def write_binary(df: DataFrame, path: str, path_col: str = "path",
                  content_col: str = "content") -> dict:
-    """Binary objects as ``(path string, content binary)`` rows in Parquet."""
+    """Binary objects as ``(path string, content binary)`` rows in Parquet, under a ``.blobs``
+    path."""
+    _require_suffix(path, ".blobs")
     rows = df.select(F.col(path_col).cast("string").alias("path"),
                      F.col(content_col).cast("binary").alias("content"))
     return write_parquet(rows, path) | {"type": "binary"}

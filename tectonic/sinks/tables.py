@@ -42,7 +42,7 @@ def materialize_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> d
     (for example the streaming ingest's lookup of stored event ids) read it without a
     shuffle of this side."""
     out, obs = observed(df)
-    (out.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (out.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
      .saveAsTable(table))
     return {"path": table, "type": "table", "records": obs.get["records"]}
 
@@ -54,16 +54,25 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def _replace_table(spark: SparkSession, table: str, new_rows: DataFrame) -> dict:
-    """Stage ``new_rows`` (which may read ``table``) in a uniquely named table, then
-    overwrite ``table`` from the stage and drop it. The stage cuts the lineage, so the
-    target is never overwritten by a plan that is still reading it."""
+    """Stage ``new_rows`` (which may read ``table``) in a uniquely named table shaped like
+    ``table``, then overwrite ``table`` from the stage and drop it. The stage cuts the lineage,
+    so the target is never overwritten by a plan that is still reading it, and takes the
+    target's types, so a value that doesn't fit fails before the target is touched. If the
+    overwrite itself fails, the stage with all rows is kept and named in the error."""
     stage = f"{table}__staging_{uuid.uuid4().hex[:12]}"
     out, obs = observed(new_rows)
-    out.write.mode("overwrite").saveAsTable(stage)
+    spark.sql(f"CREATE TABLE {stage} LIKE {table}")
     try:
-        spark.table(stage).write.mode("overwrite").insertInto(table, overwrite=True)
-    finally:
+        out.write.insertInto(stage)
+    except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {stage}")
+        raise
+    try:
+        spark.table(stage).write.insertInto(table, overwrite=True)
+    except Exception as failed:
+        failed.add_note(f"{table} may be incomplete; all its new rows are in {stage}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
     return {"path": table, "type": "table", "records": obs.get["records"]}
 
 

@@ -1,4 +1,4 @@
-"""Datasets addressed by key: Parquet, JSON documents and binary objects."""
+"""Datasets addressed by key: Parquet, JSON documents, JSON lines and binary objects."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sinks import paths
 
 # The file suffixes a dataset key may resolve to, and their reader.
-READERS = {"parquet": "parquet", "json": "json", "bin": "binaryFile", "dat": "binaryFile"}
+# ``json`` is one document per file, ``jsonl`` one record per line; ``bin`` and ``dat`` are raw
+# objects, ``blobs`` is a table of objects as the binary sink writes it.
+READERS = {"parquet": "parquet", "json": "json", "jsonl": "json", "bin": "binaryFile",
+           "dat": "binaryFile", "blobs": "parquet"}
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +45,8 @@ def resolve_dataset(spark: SparkSession, root: str, layer: str, schema: str,
 def read_dataset(spark: SparkSession, root: str, layer: str, schema: str,
                  table: str) -> DataFrame:
     """Read the object stored under ``root/layer/schema/table``: Parquet as a table, JSON as
-    multi-line documents, ``bin``/``dat`` as binary rows."""
+    multi-line documents, ``jsonl`` as records, ``bin``/``dat`` as binary rows and ``blobs`` as
+    ``(path, content)`` rows. Every sink's output is read back by its suffix."""
     path, suffix = resolve_dataset(spark, root, layer, schema, table)
     if suffix == "json":
         return spark.read.option("multiLine", True).json(path)

@@ -59,7 +59,7 @@ def test_parquet_sink_and_dataset_resolution(spark, tmp_dir):
 def test_binary_and_json_sinks(spark, tmp_dir):
     blobs = spark.createDataFrame([("k1", bytearray(b"\x00\x01")), ("k2", bytearray(b"zz"))],
                                   "path string, content binary")
-    m = files.write_binary(blobs, os.path.join(tmp_dir, "blobs.bin"))
+    m = files.write_binary(blobs, os.path.join(tmp_dir, "blobs.blobs"))
     assert m["records"] == 2 and m["type"] == "binary"
     with open(os.path.join(tmp_dir, "raw.dat"), "wb") as f:
         f.write(b"\x05\x06")
@@ -68,8 +68,8 @@ def test_binary_and_json_sinks(spark, tmp_dir):
     files.write_json_document(spark, doc, os.path.join(tmp_dir, "doc.json"))
     back = spark.read.option("multiLine", True).json(os.path.join(tmp_dir, "doc.json")).first()
     assert back["name"] == "Ōsaka" and list(back["ids"]) == [1, 2]
-    m = files.write_json_records(spark.range(3), os.path.join(tmp_dir, "recs.json"))
-    assert m["records"] == 3 and spark.read.json(os.path.join(tmp_dir, "recs.json")).count() == 3
+    m = files.write_json_records(spark.range(3), os.path.join(tmp_dir, "recs.jsonl"))
+    assert m["records"] == 3 and spark.read.json(os.path.join(tmp_dir, "recs.jsonl")).count() == 3
 
 
 def test_upsert_path_swaps(spark, tmp_dir):
@@ -256,6 +256,48 @@ def test_gzip_catalogue_is_redistributed(spark, tmp_dir):
     with gzip.open(os.path.join(tmp_dir, "big.txt.gz"), "wt") as f:
         f.write("\n".join(lines) + "\n")
     df = text.read_raw_lines(spark, tmp_dir)
-    assert df.rdd.getNumPartitions() > 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in plan
     assert sorted(r.raw_line for r in df.collect()) == sorted(lines)
     assert text.read_raw_lines(spark, tmp_dir, spread_unsplittable=False).rdd.getNumPartitions() == 1
+
+
+def test_every_sink_reads_back_by_key(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "bronze/quake")
+    files.write_json_records(spark.range(1000), os.path.join(root, "records.jsonl"))
+    assert datasets.read_dataset(spark, tmp_dir, "bronze", "quake", "records").count() == 1000
+    blobs = spark.createDataFrame([("k1", bytearray(b"\x00\x01")), ("k2", bytearray(b"zz"))],
+                                  "path string, content binary")
+    files.write_binary(blobs, os.path.join(root, "objects.blobs"))
+    back = datasets.read_dataset(spark, tmp_dir, "bronze", "quake", "objects").collect()
+    assert sorted((r.path, bytes(r.content)) for r in back) == [("k1", b"\x00\x01"), ("k2", b"zz")]
+    files.write_dataset(spark.range(7), tmp_dir, "bronze", "quake", "table")
+    assert datasets.read_dataset(spark, tmp_dir, "bronze", "quake", "table").count() == 7
+    with pytest.raises(ValueError):
+        files.write_json_records(spark.range(3), os.path.join(root, "records.json"))
+    with pytest.raises(ValueError):
+        files.write_binary(blobs, os.path.join(root, "objects.bin"))
+
+
+def test_failed_upsert_leaves_the_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keepdb")
+    spark.sql("DROP TABLE IF EXISTS keepdb.t")
+    spark.sql("CREATE TABLE keepdb.t (k INT, v VARCHAR(3)) USING parquet")
+    spark.sql("INSERT INTO keepdb.t VALUES (1, 'a'), (2, 'b'), (3, 'c')")
+    for change in (lambda src: tables.upsert_table(spark, "keepdb.t", src, ["k"]),
+                   lambda src: tables.refresh_table(spark, "keepdb.t", src)):
+        with pytest.raises(Exception):
+            change(spark.createDataFrame([(2, "too long")], "k int, v string"))
+        assert sorted(map(tuple, spark.table("keepdb.t").collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert [r.tableName for r in spark.sql("SHOW TABLES IN keepdb").collect() if not r.isTemporary] == ["t"]
+    tables.upsert_table(spark, "keepdb.t", spark.createDataFrame([(2, "B"), (4, "d")], "k int, v string"), ["k"])
+    assert sorted(map(tuple, spark.table("keepdb.t").collect())) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_raw_lines_beside_partition_style_folder(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "year=2019"))
+    for name in ("a.txt", "b c.txt", "year=2019/d.txt"):
+        with open(os.path.join(tmp_dir, name), "w") as out:
+            out.write(name + "\n")
+    got = text.read_raw_lines(spark, tmp_dir)
+    assert sorted(r.raw_line for r in got.collect()) == ["a.txt", "b c.txt"]
