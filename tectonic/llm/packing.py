@@ -19,12 +19,16 @@ columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import chain
+from struct import pack as pack_values
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,37 +44,103 @@ _WORDS: dict = {}
 
 
 class WordIds(dict):
-    """Ids of a word between white space; recent words stay in the dictionary. The tokenizer
-    drops white space and splits at it, so words can be encoded one by one."""
+    """The ids of words between white space, as little-endian bytes of ``width`` each; recent
+    words and pieces stay in memory. The tokenizer drops white space and splits at it, so words
+    can be encoded one by one.
 
-    def __init__(self, path: str):
+    Where the tokenizer normalizes by NFC and lower case and splits by one pattern, a word of
+    plain Latin characters is split here and only its pieces go to the tokenizer's model: most
+    of a call's time is otherwise the alignment of normalized text, which packing does not need.
+    Every other word (and any that holds an added token) is encoded by the whole tokenizer."""
+
+    # Characters that NFC leaves alone beside each other and that are lower-cased singly.
+    PLAIN = re.compile(r"[\x00-\x7f\u00a1-\u012f\u0131-\u017f]+")
+
+    def __init__(self, path: str, end_id: int):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        largest = max(self.tokenizer.get_vocab_size() - 1, end_id, *added, 0)
+        self.width = 2 if largest < 1 << 16 else 4
+        self.form = "<%d" + ("H" if self.width == 2 else "I")
+        self.added = re.compile("|".join(re.escape(t.content) for t in added.values()) or "(?!)").search
+        self.end = self._raw([end_id])
+        self.pieces: dict[str, bytes] = {}
+        self.split = self._pattern()
+        # The byte-level alphabet: printable bytes are themselves, the rest follow from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.alphabet = {b: b if b in own else next(rest) for b in range(256)}
+
+    def _pattern(self):
+        """The pattern that splits plain words, or None for a tokenizer of another make."""
+        parts = json.loads(self.tokenizer.to_str())
+        steps = (parts["normalizer"] or {}).get("normalizers", [])
+        cuts = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if [x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"] or \
+                steps[1]["pattern"] != {"Regex": r"\s+"} or \
+                [x["type"] for x in cuts] != ["Split", "ByteLevel"] or \
+                not re.fullmatch(r"('\w+\||\[(\^\\s)?(\\p\{[LN]\})+\]\+?\|?)*", cuts[0]["pattern"]["Regex"]) or \
+                (cuts[0]["behavior"], cuts[0]["invert"]) != ("Removed", True) or \
+                cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]:
+            return None
+        # The same pattern with the plain letters and numbers written out.
+        plain = [chr(c) for c in range(0x180) if self.PLAIN.fullmatch(chr(c))]
+        listed = {kind: "".join(c for c in plain if unicodedata.category(c)[0] == kind) for kind in "LN"}
+        return re.compile(re.sub(r"\\p\{([LN])\}", lambda m: listed[m[1]], cuts[0]["pattern"]["Regex"]), re.ASCII)
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        ids = tuple(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
-        if len(word) <= 64:
+    def _raw(self, ids: list[int]) -> bytes:
+        return pack_values(self.form % len(ids), *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        if (raw := self.pieces.get(piece)) is None:
+            symbols = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.alphabet)
+            raw = self._raw([t.id for t in self.tokenizer.model.tokenize(symbols)])
+            if len(piece) <= 64:
+                if len(self.pieces) >= CACHED_WORDS:
+                    self.pieces.clear()
+                self.pieces[piece] = raw
+        return raw
+
+    def __missing__(self, text: str) -> bytes:
+        if self.split and (text.isascii() or self.PLAIN.fullmatch(text)) and not self.added(text):
+            parts = self.split.findall(text.lower())
+            raw = self._piece(parts[0]) if len(parts) == 1 else b"".join(map(self._piece, parts))
+        else:
+            raw = self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(text) <= 64:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            self[word] = ids
-        return ids
+            self[text] = raw
+        return raw
+
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
+        """The ids of each text and the end id; each distinct word of the batch is looked up once."""
+        words = pc.ascii_split_whitespace(texts)
+        first = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy())))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(list(map(self.__getitem__, distinct)), pa.large_binary()).take(coded.indices)
+        if not len(ids):
+            return [self.end] * len(texts)
+        bounds = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1][first].tolist()
+        data = memoryview(ids.buffers()[2])
+        return [bytes(data[i:j]) + self.end for i, j in zip(bounds, bounds[1:])]
 
 
 def _token_rows(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _WORDS:
-            _WORDS[path] = WordIds(path)
-        ids_of = _WORDS[path].__getitem__
+        if (path, end_id) not in _WORDS:
+            _WORDS[path, end_id] = WordIds(path, end_id)
+        words = _WORDS[path, end_id]
         part, taken = TaskContext.get().partitionId(), {}
         for batch in batches:
-            start, sizes, out = [], [], []
-            sources = batch.column(1).to_pylist()
-            for source, raw in zip(sources, batch.column(2).cast(pa.binary()).to_pylist()):
-                ids = np.fromiter(chain(chain.from_iterable(map(ids_of, (raw or b"").split())), (end_id,)), np.uint32)
+            start, sizes = [], []
+            out = words.encode(batch.column(2))
+            for source, ids in zip(batch.column(1).to_pylist(), out):
                 start.append(taken.get(source, 0))
-                sizes.append(len(ids))
-                taken[source] = start[-1] + len(ids)
-                out.append(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes())
+                sizes.append(len(ids) // words.width)
+                taken[source] = start[-1] + sizes[-1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(sizes), pa.int32()), batch.column(0), batch.column(1),
                  pa.array(start, pa.int64()), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
