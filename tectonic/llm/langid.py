@@ -135,8 +135,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: in
     rates = sizes.select("lang", (F.lit(per_language * 1_000_000) / F.col("count")).alias("rate"))
     sample = labelled.join(F.broadcast(rates), "lang") \
         .where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < F.col("rate")) \
-        .limit(2 * per_language * max_languages).select("lang", "text")
-    table = sample.mapInArrow(_feature_rows, "lang string, x binary").toArrow()
+        .select("lang", "text")
+    table = sample.mapInArrow(_feature_rows, "lang string, x binary") \
+        .limit(2 * per_language * max_languages).toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     place = {lang: i for i, lang in enumerate(languages)}
     x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(-1, DIMENSIONS)

@@ -179,8 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     rate = min(1.0, sample / max(count, 1)) * 1_000_000
     chosen = each.where(F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1_000_000)) < rate).limit(2 * sample)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .join(F.broadcast(chosen), "doc_id").select("y", "text").limit(4 * sample) \
-        .mapInArrow(_statistic_rows, "y int, x binary").toArrow()
+        .join(F.broadcast(chosen), "doc_id").select("y", "text") \
+        .mapInArrow(_statistic_rows, "y int, x binary").limit(4 * sample).toArrow()
     x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float64)
     y = np.array(table["y"].to_pylist(), np.float64)
     return boost(x.reshape(len(y), -1) if len(y) else np.zeros((0, 0)), y)
