@@ -61,10 +61,12 @@ def fact_events(events: DataFrame, dim: DataFrame,
 
     Plan: key -> dedup (the only shuffle, on event_id, combined map-side) -> broadcast band
     join -> collapse border points per event_id, which reuses the event_id partitioning and
-    adds no exchange. Deduplicating before the join is exact because all copies of a key
-    share the point, hence the province set.
+    adds no exchange. All located copies of a key share the point, hence the province set. The
+    key skips nulls, so a copy without a coordinate can share the key of a located one; the
+    order puts non-null coordinates first, so the located copy is kept and gets its province.
     """
-    unique = first_by_order(fact_projection(keyed_events(events)), ["event_id"])
+    unique = first_by_order(fact_projection(keyed_events(events)), ["event_id"],
+                            ["latitude", "longitude"])
     tagged = tag_provinces(unique, dim, bands_per_degree, broadcast_bytes)
     others = [c for c in unique.columns if c != "event_id"]
     fact = tagged.groupBy("event_id").agg(

@@ -1,13 +1,12 @@
-"""JDBC sink: staged write, keyed upsert and full refresh through DataFrame writes."""
+"""JDBC sink: staged write, keyed upsert and full refresh inside the database."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.upsert import full_refresh, upsert_by_key
 from ..sources.jdbc import read_table
 from .metrics import observed
 
@@ -27,24 +26,10 @@ def write_table(df: DataFrame, url: str, table: str, properties: dict | None = N
     return {"path": table, "type": "jdbc", "records": obs.get["records"]}
 
 
-def _replace(spark: SparkSession, url: str, table: str, new_rows: DataFrame,
-             properties: dict | None) -> dict:
-    """Write the complete new contents to a uniquely named stage, then truncate the target
-    and load it from the stage. DataFrame writers commit per task, so this is not one
-    database transaction; the stage is dropped only after the target load succeeded, so a
-    failed load can be repeated from it (``write_table(read_table(stage), ..., truncate)``).
-    """
-    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
-    metrics = write_table(new_rows, url, stage, properties)
-    staged = read_table(spark, url, stage, properties)
-    # truncate keeps the target's DDL (keys, constraints) instead of recreating the table
-    write_table(staged, url, table, properties, mode="overwrite", truncate=True)
-    drop_table(spark, url, stage, properties)
-    return metrics | {"path": table}
-
-
-def drop_table(spark: SparkSession, url: str, table: str, properties: dict | None) -> None:
-    """Drop a staging table through the JDBC driver manager."""
+def in_transaction(spark: SparkSession, url: str, properties: dict | None,
+                   statements: Sequence[str]) -> list[int]:
+    """Run SQL statements on one connection and commit them together; a failure of any of them
+    rolls all back. Returns each statement's row count."""
     jvm = spark.sparkContext._jvm
     props = jvm.java.util.Properties()
     for k, v in (properties or {}).items():
@@ -52,20 +37,70 @@ def drop_table(spark: SparkSession, url: str, table: str, properties: dict | Non
             props.setProperty(k, str(v))
     conn = jvm.java.sql.DriverManager.getConnection(url, props)
     try:
-        conn.createStatement().executeUpdate(f"DROP TABLE {table}")
+        conn.setAutoCommit(False)
+        try:
+            counts = [conn.createStatement().executeUpdate(sql) for sql in statements]
+            conn.commit()
+            return counts
+        except Exception:
+            conn.rollback()
+            raise
     finally:
         conn.close()
 
 
+def drop_table(spark: SparkSession, url: str, table: str, properties: dict | None) -> None:
+    """Drop a staging table through the JDBC driver manager."""
+    in_transaction(spark, url, properties, [f"DROP TABLE {table}"])
+
+
+def _merge(spark: SparkSession, url: str, table: str, source: DataFrame,
+           columns: Sequence[str] | None, properties: dict | None, keys: Sequence[str] | None) -> dict:
+    """Stage the source rows only, in a table shaped like the target's declared columns; then
+    delete (the rows of the staged keys, or all) and insert from the stage in one transaction.
+    Spark reads the target's schema but none of its rows. The target is unchanged after any
+    failure, so the stage is dropped either way.
+
+    ``records`` are the staged rows and the target rows that stay, ``staged`` and ``deleted``
+    what the names say.
+    """
+    quote = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    names = {c.lower(): c for c in read_table(spark, url, table, properties).columns}
+    wanted = list(columns or source.columns)
+    unknown = [c for c in [*wanted, *(keys or [])] if c.lower() not in names]
+    if unknown:
+        raise ValueError(f"columns not in the target table: {unknown}")
+    listed = ", ".join(quote(names[c.lower()]) for c in wanted)
+    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
+    in_transaction(spark, url, properties,
+                   [f"CREATE TABLE {stage} AS SELECT {listed} FROM {table} WITH NO DATA"])
+    try:
+        staged = source.select(*[F.col(c).alias(names[c.lower()]) for c in wanted])
+        metrics = write_table(staged, url, stage, properties, mode="append")
+        where = ""
+        if keys:
+            same = " AND ".join(f"{stage}.{quote(names[k.lower()])} = {table}.{quote(names[k.lower()])}"
+                                for k in keys)
+            where = f" WHERE EXISTS (SELECT 1 FROM {stage} WHERE {same})"
+        deleted, inserted = in_transaction(spark, url, properties, [
+            f"DELETE FROM {table}{where}",
+            f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {stage}"])
+    finally:
+        drop_table(spark, url, stage, properties)
+    rows = read_table(spark, url, f"(SELECT COUNT(*) AS n FROM {table}) counted", properties).first()[0]
+    return metrics | {"path": table, "records": int(rows), "staged": inserted, "deleted": deleted}
+
+
 def upsert(spark: SparkSession, url: str, table: str, source: DataFrame, keys: Sequence[str],
            columns: Sequence[str] | None = None, properties: dict | None = None) -> dict:
-    """Keyed upsert into a JDBC table via a uniquely named staging table."""
-    target = read_table(spark, url, table, properties)
-    return _replace(spark, url, table, upsert_by_key(target, source, keys, columns), properties)
+    """Delete the target rows whose keys equal a source row's, then insert every source row; one
+    database transaction. Columns outside ``columns`` get the table's default."""
+    if not keys:
+        raise ValueError("an upsert needs key columns")
+    return _merge(spark, url, table, source, columns, properties, keys)
 
 
 def refresh(spark: SparkSession, url: str, table: str, source: DataFrame,
             columns: Sequence[str] | None = None, properties: dict | None = None) -> dict:
-    """Full refresh (truncate + insert) of a JDBC table."""
-    target = read_table(spark, url, table, properties)
-    return _replace(spark, url, table, full_refresh(target, source, columns), properties)
+    """Replace all rows of a JDBC table by the source's, in one database transaction."""
+    return _merge(spark, url, table, source, columns, properties, None)
