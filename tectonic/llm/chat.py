@@ -3,10 +3,12 @@
     conversation := turn*
     turn         := "<|im_start|>" role "\\n" text "<|im_end|>\\n"
 
-A rendered turn is parsed again and compared with its source. If they differ, the conflicting
-content is escaped and the turn is rendered anew, until they are identical: control strings in a
-text get one backslash more between "<" and "|" (so "<|" never appears inside a text and the
-escape can be undone one level at a time), and reserved characters of a role are percent-coded.
+Neither a role nor a text may contain "<|", the beginning of every control string; the parser
+rejects it. A rendered turn is parsed again and compared with its source. If they differ, the
+conflicting content is escaped and the turn is rendered anew, until they are identical: control
+strings in a text get one backslash more between "<" and "|" (so "<|" never appears inside a text
+and the escape can be undone one level at a time), and reserved characters of a role are
+percent-coded. So the marks of a formatted turn are its own, one of each.
 
 Turns are rendered in parallel, one row each. Reading back streams the formatted turns of each
 conversation, in order, through the same parser; memory is bounded by one turn, so a conversation
@@ -66,11 +68,13 @@ class Parser:
             line = self.rest.find("\n", len(START))
             if line < 0:
                 return
-            close = self.rest.find(END, line + 1)
+            if "<|" in self.rest[len(START):line]:
+                raise ValueError("a role must not contain <|")
+            close = self.rest.find("<|", line + 1)
             if close < 0 or len(self.rest) < close + len(END) + 1:
                 return
-            if self.rest[close + len(END)] != "\n":
-                raise ValueError("a turn must end with its end mark and a line feed")
+            if not self.rest.startswith(END + "\n", close):
+                raise ValueError("a text must not contain <| and a turn must end with its end mark and a line feed")
             yield (unescape_role(self.rest[len(START):line]), unescape(self.rest[line + 1:close]),
                    self.consumed + line + 1, close - line - 1)
             self.rest, self.consumed = self.rest[close + len(END) + 1:], self.consumed + close + len(END) + 1
@@ -88,18 +92,13 @@ def parse(text: str) -> list[tuple[str, str, int, int]] | None:
 
 def render(role: str, text: str) -> tuple[str, int, int]:
     """The formatted turn, and start and length of its raw text."""
-    own_role, own_text = role, text
-    for _ in range(2):
+    escaped = escape(text)
+    for own_role, own_text in ((role, text), (role, escaped), (escape_role(role), escaped)):
         out = f"{START}{own_role}\n{own_text}{END}\n"
         turns = parse(out)
         if turns is not None and len(turns) == 1 and turns[0][:2] == (role, text):
             return out, *turns[0][2:]
-        own_role, own_text = escape_role(role), escape(text)
-    out = f"{START}{own_role}\n{own_text}{END}\n"
-    turns = parse(out)
-    if turns is None or len(turns) != 1 or turns[0][:2] != (role, text):
-        raise ValueError("the turn can't be read back")
-    return out, *turns[0][2:]
+    raise ValueError("the turn can't be read back")
 
 
 def _render_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
