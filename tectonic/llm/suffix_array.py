@@ -8,7 +8,10 @@ repeat and are dropped before any text moves; identical pieces collapse to one w
 (aggregated map-side), so copies of any number are one row. The texts of the remaining distinct
 pieces are dealt into shards of bounded size, and each shard is sorted by external induced suffix
 sorting (``induced``): a window is repeated if a neighbour in suffix order shares ``length``
-symbols with it, or if its piece was counted more than once.
+symbols with it, or if its piece was counted more than once. A hash whose distinct pieces alone
+are more than a shard holds (a common line in ever different surroundings) is not sorted: each of
+its windows goes by two 64-bit hashes of its own bytes, counted map-side, so no task holds the
+pieces of one hash.
 
 Defined results: null counts as empty; matches never cross documents; strings are judged on the
 input; repeated rows repeat all their windows; a null id is a document like any other. Extra
@@ -31,6 +34,8 @@ from tectonic.llm.common import Workspace
 from tectonic.llm.induced import MEMORY, repeated_starts
 
 GRAM, SHARD_BYTES, SEGMENT = 32, 4 << 20, 1 << 20
+BROADCAST_KEYS = 1 << 20  # 8 bytes each
+SYMBOLS = H.mix(np.arange(1, 257).astype(H.U64))
 
 
 def _sliding(values: np.ndarray, width: int, least) -> np.ndarray:
@@ -110,18 +115,68 @@ def _piece_rows(length: int, gram: int):
 
 def _piece_texts(length: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # repeated rows: their copies are counted, one text is enough
         for batch in batches:
             texts = batch.column(0).flatten()[text_at]
             for r in np.flatnonzero(np.asarray(batch.column(1).is_valid())).tolist():
+                row = batch.column(2)[r].as_py(), batch.column(3)[r].as_py()
+                if row in seen:
+                    continue
+                seen.add(row)
                 raw = texts[r].as_py().encode()
                 wanted = batch.column(1)[r].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w[name] for w in wanted], pa.int64()) for name in ("key", "content", "copies", "windows")]
-                    + [pa.array([raw[w["start"]:w["start"] + w["windows"] + length - 1] for w in wanted], pa.binary())],
-                    ["key", "content", "copies", "windows", "text"])
+                    + [pa.array([w["crowded"] for w in wanted], pa.bool_()),
+                       pa.array([raw[w["start"]:w["start"] + w["windows"] + length - 1] for w in wanted], pa.binary())],
+                    ["key", "content", "copies", "windows", "crowded", "text"])
+    return run
+
+
+def _single_windows(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, data = H.text_buffer(batch.column(3))
+            for i, j in H.slices(offsets, SEGMENT // 4):
+                own, piece = offsets[i:j + 1] - offsets[i], data[offsets[i]:offsets[j]]
+                counts = np.diff(own) - length + 1
+                row = np.repeat(np.arange(j - i), counts)
+                low = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = own[row] + low
+                first, second = (H.span_hashes(H.prefix_sums(values), at, at + length).view(np.int64)
+                                 for values in (piece.astype(H.U64) + H.U64(1), SYMBOLS[piece]))
+                rows = pa.array(row + i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), pa.array(second), *(batch.column(c).take(rows) for c in range(3)), pa.array(low)],
+                    ["first", "second", "key", "content", "copies", "low"])
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows, lows, highs = [], [], []
+        for r, own in enumerate(batch.column(2)):
+            own = np.unique(own.values.to_numpy())
+            breaks = np.flatnonzero(np.diff(own) > 1)
+            rows += [r] * (len(breaks) + 1)
+            lows += own[np.append(0, breaks + 1)].tolist()
+            highs += (own[np.append(breaks, len(own) - 1)] + 1).tolist()
+        rows = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(lows, pa.int64()), pa.array(highs, pa.int64())],
+            ["key", "content", "low", "high"])
+
+
+def _ranges_by_window(texts: DataFrame, length: int) -> DataFrame:
+    """The ranges of repeated windows of each piece, found by the hashes of single windows."""
+    windows = texts.select("key", "content", "copies", "text").mapInArrow(
+        _single_windows(length), "first long, second long, key long, content long, copies long, low long")
+    repeated = windows.groupBy("first", "second").agg(F.sum("copies").alias("n")).where("n > 1")
+    return windows.join(repeated, ["first", "second"], "left_semi") \
+        .groupBy("key", "content").agg(F.collect_list("low").alias("lows")) \
+        .mapInArrow(_runs, "key long, content long, low long, high long")
+
+
 def _sort_shard(length: int, memory: int):
     def run(key, table):
         table = table.combine_chunks()
@@ -178,7 +233,8 @@ def _cut(text_at: int, names: list[str]):
 def remove_repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, shard_bytes: int = SHARD_BYTES,
                    memory: int = MEMORY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` plus n_bytes, n_removed, spans (the maximal removed byte ranges) and
-    kept (the remaining bytes). ``shard_bytes`` sizes the shards to be sorted, ``memory`` is what
+    kept (the remaining bytes). ``shard_bytes`` sizes the shards to be sorted and is what the pieces
+    of one hash may hold to be sorted, ``memory`` is what
     a sort's queues may hold before they go to disk."""
     if gram > length:
         raise ValueError("gram must not exceed length")
@@ -196,19 +252,31 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, shard_b
         .where("n > 1 or again").select("key", (F.col("mixed") | F.col("again")).alias("mixed"))
     shared = work.save(found.drop("again").join(keys, "key"))
     mixed = shared.where("mixed")
-    distinct = mixed.groupBy("key", "content").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc", "print", "start", "windows")).alias("at"))
-    wanted = work.save(distinct.select("at.doc", "at.print", F.struct(
-        "key", "content", "copies", "at.start", "at.windows").alias("piece"))
+    distinct = work.save(mixed.groupBy("key", "content").agg(
+        F.count("*").alias("copies"), F.min(F.struct("doc", "print", "start", "windows")).alias("at")))
+    sizes = distinct.groupBy("key").agg(F.sum(F.col("at.windows") + length).alias("bytes"))
+    large = F.col("bytes") > shard_bytes
+    total, n_crowded = sizes.agg(F.coalesce(F.sum(F.when(~large, F.col("bytes"))), F.lit(0)), F.count_if(large)).first()
+    marked = distinct.withColumn("crowded", F.lit(False))
+    if n_crowded:
+        crowded = work.save(sizes.where(large).select("key", F.lit(True).alias("found")))
+        marked = distinct.join(F.broadcast(crowded) if n_crowded <= BROADCAST_KEYS else crowded, "key", "left") \
+            .withColumn("crowded", F.col("found").isNotNull())
+    wanted = work.save(marked.select("at.doc", "at.print", F.struct(
+        "key", "content", "copies", "at.start", "at.windows", "crowded").alias("piece"))
         .groupBy("doc", "print").agg(F.collect_list("piece").alias("pieces")))
-    total = distinct.agg(F.coalesce(F.sum(F.col("at.windows") + length), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
     text_at = docs.columns.index(text_col)
-    texts = keyed.join(wanted, ["doc", "print"], "left").select("row", "pieces").mapInArrow(
-        _piece_texts(length, text_at), "key long, content long, copies long, windows long, text binary")
-    ranges = texts.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInArrow(
+    texts = keyed.join(wanted, ["doc", "print"], "left").select("row", "pieces", "doc", "print").mapInArrow(
+        _piece_texts(length, text_at),
+        "key long, content long, copies long, windows long, crowded boolean, text binary")
+    if n_crowded:
+        texts = work.save(texts)
+    ranges = texts.where("not crowded").groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInArrow(
         _sort_shard(length, memory), "key long, content long, low long, high long")
+    if n_crowded:
+        ranges = ranges.union(_ranges_by_window(texts.where("crowded"), length))
     covered = mixed.join(ranges, ["key", "content"]).select(
         "doc", "print", (F.col("start") + F.col("low")).alias("low"),
         (F.col("start") + F.col("high") + (length - 1)).alias("high")) \

@@ -133,6 +133,36 @@ def test_byte_repeats(docs, awkward, empty, shard_bytes, memory):
     assert suffix_array.remove_repeats(empty).count() == 0
 
 
+def test_byte_repeats_around_a_common_line(spark, monkeypatch):
+    """A line of 100 bytes with ever different text around it: no shard holds all its pieces."""
+    rng, shard_bytes = random.Random(7), 4000
+    line = "".join(rng.choice("abcdefgh ") for _ in range(100))
+    words = ["".join(rng.choice("ijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(400)]
+    rows = []
+    for d in range(300):
+        around = [" ".join(rng.choices(words, k=40)) for _ in range(2)]
+        if d % 9 == 1:  # only the left or the right of the line as in the row before
+            around[d % 2] = rows[-1][1].split(line)[d % 2]
+        rows.append((d, line.join(around)))
+    rows += [rows[5], rows[5], rows[6], (400, rows[8][1] + rows[8][1]), (401, "é" + line * 4), (None, rows[9][1])]
+    sort_shard = suffix_array._sort_shard
+
+    def bounded(length, memory):
+        run = sort_shard(length, memory)
+
+        def checked(key, table):
+            if sum(len(t) for t in table["text"].to_pylist()) > 5 * shard_bytes:
+                raise ValueError("a shard is too large")
+            return run(key, table)
+        return checked
+
+    monkeypatch.setattr(suffix_array, "_sort_shard", bounded)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_array.remove_repeats(table, shard_bytes=shard_bytes).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r["kept"])) for r in got], brute.byte_repeats(rows))
+    assert sum(r.n_removed for r in got) > 0
+
+
 def test_packing(docs, awkward, empty):
     tokenizer = Tokenizer.from_file(WORDS)
     for table in (docs, awkward):
