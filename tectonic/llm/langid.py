@@ -7,13 +7,14 @@ weighted by how well each classifier does on that language; the least loss wins.
 best languages are nearly as likely is flagged ambiguous.
 
 Up to five languages get the exhaustive code (2**(n-1) - 1 bits), more a random code with the
-largest least distance of several seeded draws. The classifiers are fitted on a bounded sample
-(``per_language`` labelled rows of each of at most ``max_languages`` languages); prediction reads
-whole texts, slice by slice.
+largest least distance of several seeded draws. The classifiers are fitted on a sample of every
+language: ``sample_rows`` labelled rows dealt evenly, at most ``per_language`` each (expected) and
+at least one. A row is 8 KB of features, so the driver gets 256 MB at most, or one row a language
+where there are more languages than ``sample_rows``. Prediction reads whole texts, slice by slice.
 
 Defined results: a null text or one without any letter is ``und`` with score 0; without labelled
 rows everything is ``und``; rows with a null label are not learned from; a null id is not held
-out; repeated rows are predicted alike; extra columns are ignored.
+out; repeated rows are predicted alike and learned from once; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from tectonic.llm import hashing as H
 from tectonic.llm.common import prepare
 
 DIMENSIONS, SHORT = 2048, 512  # of all n-grams; the first SHORT are for one and two bytes
-PER_LANGUAGE, MAX_LANGUAGES = 800, 256
+PER_LANGUAGE, SAMPLE_ROWS = 800, 1 << 15
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -75,7 +76,8 @@ def codewords(n: int) -> np.ndarray:
     for seed in range(50):
         code = np.random.default_rng(seed).choice([-1, 1], (n, math.ceil(10 * math.log2(n)))).astype(np.int8)
         code = code[:, np.abs(code.sum(axis=0)) < n]
-        distance = ((code.shape[1] - code.astype(int) @ code.T) // 2 + code.shape[1] * np.eye(n, dtype=int)).min()
+        wide = code.astype(np.float32)
+        distance = ((code.shape[1] - wide @ wide.T) // 2 + code.shape[1] * np.eye(n, dtype=np.float32)).min()
         if distance > score:
             best, score = code, distance
     return best
@@ -123,21 +125,24 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for i, j in H.slices(offsets):
             x = features(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array([row.tobytes() for row in x], pa.binary())],
-                ["lang", "x"])
+                [batch.column(0).slice(i, j - i), pa.array([row.tobytes() for row in x], pa.binary()),
+                 batch.column(2).slice(i, j - i)], ["lang", "x", "place"])
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model:
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on rows (doc_id, text, lang), a bounded sample of each language."""
     prepare(labelled.sparkSession)
-    labelled = labelled.where("text is not null and lang is not null")
-    sizes = labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(max_languages)
-    rates = sizes.select("lang", (F.lit(per_language * 1_000_000) / F.col("count")).alias("rate"))
+    labelled = labelled.where("text is not null and lang is not null") \
+        .withColumn("place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 53)))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("count"), F.min("place").alias("least")).collect()
+    each = max(1, min(per_language, sample_rows // max(1, len(sizes))))
+    rates = labelled.sparkSession.createDataFrame(
+        [(lang, least, (each << 53) / count) for lang, count, least in sizes], "lang string, least long, rate double")
     sample = labelled.join(F.broadcast(rates), "lang") \
-        .where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < F.col("rate")) \
-        .select("lang", "text")
-    table = sample.mapInArrow(_feature_rows, "lang string, x binary") \
-        .limit(2 * per_language * max_languages).toArrow()
+        .where((F.col("place") < F.col("rate")) | (F.col("place") == F.col("least"))) \
+        .select("lang", "text", "place")
+    table = sample.mapInArrow(_feature_rows, "lang string, x binary, place long") \
+        .dropDuplicates(["lang", "place"]).select("lang", "x").toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     place = {lang: i for i, lang in enumerate(languages)}
     x = np.frombuffer(b"".join(table["x"].to_pylist()), np.float32).reshape(-1, DIMENSIONS)
@@ -169,7 +174,7 @@ def _predict_rows(model, ambiguous_below: float):
 def predict(docs: DataFrame, model: Model, ambiguous_below: float = 0.2) -> DataFrame:
     """doc_id, lang_pred, score, ambiguous of each row's whole text."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES codewords
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one codeword a language
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _predict_rows(shared, ambiguous_below), "doc_id long, lang_pred string, score double, ambiguous boolean")
 

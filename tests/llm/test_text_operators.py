@@ -234,6 +234,17 @@ def test_language(docs, awkward, empty):
     assert langid.accepted(docs, model).count() == docs.count()
 
 
+def test_every_language_is_learned(spark):
+    """More languages than the sample has rows to spare, one of them with a single row."""
+    rng = random.Random(8)
+    rows = [(k * 1000 + i, " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{rng.choice('xyz')}" for _ in range(30)), f"l{k:03}")
+            for k in range(300) for i in range(1 if k == 7 else 4)]
+    rows += [(None, "repeated", "l000")] * 50
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.fit(table).languages) == 300
+    assert len(langid.fit(table, sample_rows=100).languages) == 300
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 9, 30])
 def test_codewords(n):
     code = langid.codewords(n).astype(int)
