@@ -27,9 +27,11 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8; of rows
     that repeat the kept document's id and text, one. Rows without an id are linked to nothing."""
-    groups = minhash.near_duplicates(docs, shingle=5, percent=80)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]) \
+    groups = minhash.judged(docs, shingle=5, percent=80)
+    kept = groups.where("kept and doc_id is not null").select(
+        F.col("doc_id").alias("kept_id"), F.col("print").alias("kept_print")).distinct()
+    same = (docs["doc_id"] == kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_print"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]) \
         .unionByName(docs.where("doc_id is null"))
 
 

@@ -21,7 +21,7 @@ dropped, and what a bucket emits grows in proportion to its members.
 Defined results: a text without words (or null) has an empty set and is linked with nothing;
 fewer words than the shingle length give the whole sequence as one shingle; rows with equal
 sets are linked; rows with a null id are linked with nothing; rows that share an id count as one
-document where they represent a class. Extra columns are ignored.
+document where they represent a class, but every class is compared by its own text. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -111,10 +111,10 @@ def _sketch_rows(shingle: int, t: int, rows: int):
             n = len(ids)
             bands = np.concatenate(bands).view(np.int64).ravel() if n else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(sizes) if n else [], pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(np.concatenate(sizes) if n else [], pa.int64()),
                  pa.array(ids, pa.binary()),
                  pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * (t // rows), bands)],
-                ["doc_id", "n_shingles", "set_id", "bands"])
+                ["doc_id", "print", "n_shingles", "set_id", "bands"])
     return run
 
 
@@ -126,17 +126,17 @@ def _set_rows(shingle: int):
                 own = offsets[i:j + 1] - offsets[i]
                 hashes, at = shingle_sets(data[offsets[i]:offsets[j]], own, shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i),
+                    [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
                      pa.ListArray.from_arrays(at.astype(np.int32), hashes.view(np.int64))],
-                    ["id", "shingles"])
+                    ["id", "print", "shingles"])
     return run
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b").select(
+    left = sets.select(F.col("id").alias("a"), F.col("print").alias("pa"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("print").alias("pb"), F.col("shingles").alias("sb"))
+    both = pairs.join(left, ["a", "pa"]).join(right, ["b", "pb"]).select(
         "a", "b", (F.size("sa") + F.size("sb")).cast("long").alias("n"),
         F.size(F.array_intersect("sa", "sb")).cast("long").alias("common"))
     return both.where(F.col("common") * 100 >= (F.col("n") - F.col("common")) * percent).select("a", "b")
@@ -186,27 +186,34 @@ def _block_links(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, t: int = 128,
+def near_duplicates(docs: DataFrame, *args, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; options as in ``judged``."""
+    return judged(docs, *args, **options).drop("print")
+
+
+def judged(docs: DataFrame, shingle: int = 5, percent: int = 80, t: int = 128,
                     rows: int = 4, id_col: str = "doc_id", text_col: str = "text",
                     small_bucket: int = SMALL_BUCKET, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, print (xxhash64 of its text), n_shingles, component_id, kept."""
     if t % rows:
         raise ValueError("t must be a multiple of rows")
     work = Workspace(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("string").alias("text"))
+                        F.col(text_col).cast("string").alias("text"),
+                        F.xxhash64(F.col(text_col).cast("string")).alias("print"))
     sketches = work.save(texts.mapInArrow(
         _sketch_rows(shingle, t, rows),
-        "doc_id long, n_shingles long, set_id binary, bands array<long>"))
+        "doc_id long, print long, n_shingles long, set_id binary, bands array<long>"))
     classes = work.save(
         sketches.where("doc_id is not null and set_id is not null").groupBy("set_id")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
-             F.first("bands").alias("bands")))
+        .agg(F.min(F.struct("doc_id", "print")).alias("at"), F.first("n_shingles").alias("n"),
+             F.first("bands").alias("bands"))
+        .select("set_id", F.col("at.doc_id").alias("id"), F.col("at.print").alias("print"), "n", "bands"))
 
     # Buckets with two members or more, and every member's test against the smallest one.
-    banded = classes.select("id", "n", F.explode("bands").alias("bucket"))
+    banded = classes.select("id", "print", "n", F.explode("bands").alias("bucket"))
     heads = banded.groupBy("bucket").agg(
-        F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")) \
+        F.min(F.struct("id", "n", "print")).alias("head"), F.max("id").alias("last")) \
         .where("head.id < last").select("bucket", "head")
     buckets = work.save(banded.join(heads, "bucket"))
 
@@ -215,19 +222,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, t: int
 
     pairs = work.save(
         buckets.where((F.col("id") != F.col("head.id")) & close(F.col("n"), F.col("head.n")))
-        .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct())
+        .select(F.col("head.id").alias("a"), F.col("head.print").alias("pa"),
+                F.col("id").alias("b"), F.col("print").alias("pb")).distinct())
     # Every member of a shared bucket may be tested in some round; only their texts move.
-    members = buckets.select("id").distinct()
+    members = buckets.select("id", F.col("print").alias("own")).distinct()
     sets = work.save(
-        texts.join(members, texts["doc_id"] == members["id"], "left_semi")
-        .groupBy("doc_id").agg(F.min("text").alias("text"))
-        .mapInArrow(_set_rows(shingle), "id long, shingles array<long>"))
+        texts.join(members, (texts["doc_id"] == members["id"]) & (texts["print"] == members["own"]), "left_semi")
+        .groupBy("doc_id", "print").agg(F.min("text").alias("text")).select("doc_id", "text", "print")
+        .mapInArrow(_set_rows(shingle), "id long, print long, shingles array<long>"))
     edges = work.save(_linked(pairs, sets, percent))
     components = work.save(connected_components(edges, work))
 
     # Buckets that still hold several components: all pairs across components of small ones ...
     labelled = buckets.join(components, "id", "left").select(
-        "bucket", "id", "n", F.coalesce("component", "id").alias("label"))
+        "bucket", "id", "print", "n", F.coalesce("component", "id").alias("label"))
     mixed = labelled.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"),
         F.count("*").alias("size")).where("low < high")
@@ -237,15 +245,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, t: int
     fresh = one.join(two, F.col("x.bucket") == F.col("y.bucket")) \
         .where((F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
                & close(F.col("x.n"), F.col("y.n"))) \
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct() \
-        .join(pairs, ["a", "b"], "left_anti")
+        .select(F.col("x.id").alias("a"), F.col("x.print").alias("pa"),
+                F.col("y.id").alias("b"), F.col("y.print").alias("pb")).distinct() \
+        .join(pairs, ["a", "pa", "b", "pb"], "left_anti")
     # ... and block against block inside large ones.
     blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("id", "print"), blocks).cast("int")
     dealt = remaining.where(F.col("size") > small_bucket) \
-        .select("bucket", "id", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
-        .select("bucket", "id", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    across = dealt.join(sets, "id").groupBy("bucket", "i", "j") \
+        .select("bucket", "id", "print", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")) \
+        .select("bucket", "id", "print", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    across = dealt.join(sets, ["id", "print"]).groupBy("bucket", "i", "j") \
         .applyInArrow(_block_links(percent), "a long, b long")
     edges = work.save(components.select(F.col("id").alias("a"), F.col("component").alias("b"))
                       .union(_linked(fresh, sets, percent)).union(across))
@@ -253,7 +262,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, t: int
     work.drop(sets)
     roots = classes.select("set_id", "id").join(components, "id", "left") \
         .select(F.col("set_id").alias("class"), F.coalesce("component", "id").alias("root"))
-    out = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id"))
+    out = sketches.select("doc_id", "print", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id"))
     return out.join(roots, out["set_id"] == roots["class"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"),
+        "doc_id", "print", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"),
         F.coalesce(F.col("root"), F.col("doc_id")).eqNullSafe(F.col("doc_id")).alias("kept"))

@@ -79,6 +79,19 @@ def test_near_duplicates_large_mixed_bucket(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows, 2)
 
 
+def test_near_duplicates_of_clashing_ids(spark):
+    """Two texts of one id: each is compared by itself, and only the copy of a smaller id goes."""
+    import corpus_pipeline
+    def text(name, *odd):
+        return " ".join(odd + tuple(f"{name}{i}" for i in range(100)))
+    rows = [(5, text("a")), (5, text("z")), (9, text("z", "new")), (7, text("q")), (3, text("m")), (8, text("m")), (8, text("k"))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(table, 5).collect()}
+    assert found[(9, 97)] == 5 and found[(7, 96)] == 7
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, table, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([rows[0], rows[1], rows[3], rows[4], rows[6]])
+
+
 def test_sketch_fills_every_bin():
     hashes = hashing.mix(np.arange(7, dtype=np.uint64))
     found = minhash.sketch(hashes, np.array([0, 1, 1, 7]), 64)
