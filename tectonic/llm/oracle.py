@@ -17,6 +17,46 @@ reach(id, r) AS (
 component AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
 """
 
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5) -> str:
+    """Every round spelled out: all distances, the nearest centroid, floored means."""
+    parts = ["""ints AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", f"""
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v FROM ints
+  QUALIFY cluster < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT id, vec_id, p.v, cluster,
+    list_sum(list_transform(range(1, 65), lambda i: (p.v[i] - c.v[i]) * (p.v[i] - c.v[i]))) AS distance
+  FROM ints p CROSS JOIN c{r} c
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            parts.append(f"""
+m{r} AS MATERIALIZED (
+  SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT cluster, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+      SELECT cluster, unnest(v) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY cluster, i) GROUP BY cluster),
+c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (cluster))""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c USING (cluster)
+"""
+
+
+# CRC-32 of a number's decimal text: one step a byte, eight shifts a step.
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], list_transform(range(8), lambda i: CAST(0 AS BIGINT))),
+    lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
 SQL = {
     "op2_similarity_sketch": f"""
 WITH RECURSIVE words AS (
@@ -87,5 +127,32 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(12 + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + 10 + 1) AS BIGINT)
     AS formatted_chars
 FROM rows GROUP BY conv_id
+""",
+    "op11_laesa_centroids": _centroid_sql(),
+    "op13_double_array_prefixes": f"""
+WITH turns AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, s, conv_id - conv_id % 5 AS base, {_CRC} % 9 AS h FROM turns),
+built AS (
+  SELECT a.conv_id, list_concat(coalesce(b.s[1:a.h], []), a.s[a.h + 1:]) AS s
+  FROM heads a LEFT JOIN turns b ON b.conv_id = a.base),
+places AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM built),
+nodes AS (
+  SELECT s[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN d = 0 THEN 0 ELSE strlen(any_value(s[d].t)) END AS bytes,
+    coalesce(string_agg(CASE WHEN len(s) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM places GROUP BY 1, 2),
+children AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (p, d)),
+above AS (SELECT p[1:u] AS p, u AS d, n_children, n_convs, bytes FROM (
+  SELECT *, unnest(range(0, d + 1)) AS u FROM full_nodes)),
+sums AS (
+  SELECT p, d, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves,
+    CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens FROM above GROUP BY 1, 2)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens,
+  sha256(f.ends) AS ends_sha256
+FROM full_nodes f JOIN sums USING (p, d) LEFT JOIN nodes q ON q.d = f.d - 1 AND q.p = f.p[1:f.d - 1]
 """,
 }

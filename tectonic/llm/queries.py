@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tectonic.llm import (bpe, chat, embedding_dedup, inner_product, langid, minhash, packing, quality,
-                          substring, suffix_array)
+from tectonic.llm import (bpe, centroids, chat, embedding_dedup, inner_product, langid, minhash, packing, prefix_trie,
+                          quality, substring, suffix_array, toxicity)
 from tectonic.llm.common import crc_mod
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -109,6 +109,22 @@ def chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.unionByName(extra)))
 
 
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, dimensions=64, salt="2:") \
+        .drop("n_exact")
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(docs, labels.where(~_is("doc_id", 5, 0)))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", _is("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(_table(spark, sf_dir, "conversations"), group=5, heads=9)
+
+
 QUERIES = {
     "op1_ecoc_langid": language,
     "op2_similarity_sketch": near_duplicates,
@@ -120,4 +136,7 @@ QUERIES = {
     "op8_quality_trees": quality_scores,
     "op9_induced_suffixes": exact_repeats,
     "op10_chat_round_trip": chat_round_trip,
+    "op11_laesa_centroids": centroid_clusters,
+    "op12_lexicon_toxicity": toxicity_scores,
+    "op13_double_array_prefixes": conversation_prefixes,
 }
