@@ -1,13 +1,16 @@
 """Vectorised hashing of the words and n-grams of many texts at once.
 
-Texts of an Arrow column lie back to back in one byte buffer. A polynomial hash modulo 2**64
-over the whole buffer (one cumulative sum) gives the hash of every word or window as a
-difference of two prefix values times the inverse power of its start, so no Python loop runs
-over words. Hashes are finished with a 64-bit mixer.
+Texts of an Arrow column lie back to back in one byte buffer. Words are hashed by tables indexed
+by place and byte, windows of words or bytes by a polynomial modulo 2**64 over the whole buffer (one
+cumulative sum; a window is a difference of two prefix values times the inverse power of its
+start), so no Python loop runs over words. The polynomial is for windows of a few hundred symbols
+at most: sequences that differ like a Thue-Morse word and its complement agree in it from 1,024
+symbols on. Hashes are finished with a 64-bit mixer.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,9 +104,23 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+TABLED = 64  # bytes of a word that tables hash; longer words go through a keyed digest
+
+
+def _table(seed: int) -> np.ndarray:
+    """A 64-bit value for every (place in a word, byte)."""
+    return mix(mix(np.arange(1, TABLED * 256 + 1).astype(U64) * U64(BASE)) + U64(seed))
+
+
+TABLES = {seed: _table(seed) for seed in (1, 2)}
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-                lower: bool = False) -> np.ndarray:
-    """64-bit hashes of words; long buffers go piece by piece to bound memory."""
+                lower: bool = False, seed: int = 1) -> np.ndarray:
+    """64-bit hashes of words, independent for the seeds 1 and 2: the sum of a table's values for
+    every (place, byte), or a BLAKE2 digest for words above TABLED bytes. (A polynomial modulo
+    2**64 would give some long words of two letters one hash.) Long buffers go piece by piece to
+    bound memory."""
     out = np.empty(len(starts), U64)
     i = 0
     while i < len(starts):
@@ -112,8 +129,19 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         piece = data[at:int(ends[j - 1])]
         if lower:
             piece = LOWER[piece]
-        sums = prefix_sums(piece.astype(U64) + U64(1))
-        out[i:j] = span_hashes(sums, starts[i:j] - at, ends[i:j] - at)
+        low, high = starts[i:j] - at, ends[i:j] - at
+        size = high - low
+        long = size > TABLED
+        own = np.where(long, 0, size)
+        before = np.cumsum(own) - own
+        place = np.arange(int(own.sum())) - np.repeat(before, own)
+        codes = piece[np.repeat(low, own) + place].astype(np.int64) + (place << 8)
+        sums = np.zeros(len(codes) + 1, U64)
+        np.cumsum(TABLES[seed][codes], out=sums[1:])
+        out[i:j] = mix((sums[before + own] - sums[before]) ^ mix(size.astype(U64)))
+        for k in np.flatnonzero(long).tolist():
+            digest = hashlib.blake2b(piece[low[k]:high[k]].tobytes(), digest_size=8, key=bytes([seed]))
+            out[i + k] = int.from_bytes(digest.digest(), "little")
         i = j
     return out
 

@@ -11,12 +11,13 @@ Anchors that occur in several documents are extended to windows:
 * if all hashed occurrences of an anchor also agree on everything a window around it could reach,
   all its windows are repeats in every document but the smallest;
 * the remaining windows around shared anchors (near the ends of matches) are hashed themselves
-  (128 bits) and decided by their own smallest document. The smallest document that holds such a
+  (two 64-bit hashes over independent word hashes) and decided by their own smallest document. The smallest document that holds such a
   window shares an aligned anchor with each of the others, so its window is always among them.
 
 Anchor and window hashes are aggregated (map-side combined) before they are joined back, so a
 passage that a third of all documents share is one row; the join back can be split by AQE.
-Texts move once, keyed by document.
+Texts move once, keyed by document; the marks of repeated rows are one set, so m equal rows cost m
+times one row, not its square.
 
 Defined results: windows are judged on the input; a null or short text has no window; rows that
 share an id are not sources for one another; rows with a null id neither remove nor lose
@@ -109,7 +110,7 @@ def _open_windows(window: int, period: int, text_at: int):
                 if not (marks % 2 == UNDECIDED).any():
                     continue
                 offsets, data = H.text_buffer(texts.slice(r, 1))
-                words = _words(data, offsets)[-1]
+                starts, ends, *_, words = _words(data, offsets)
                 n = len(words)
                 spans = [_window_spans(marks, s, n, window, period - 1) for s in (UNDECIDED, REPEATED)]
                 at = np.flatnonzero(spans[0] & ~spans[1])
@@ -117,7 +118,8 @@ def _open_windows(window: int, period: int, text_at: int):
                     continue
                 one = H.span_hashes(H.prefix_sums(words), at, at + window)
                 up, down = OTHER.upto(n + 1)
-                sums = np.concatenate((np.zeros(1, H.U64), np.cumsum(words * up[:n])))
+                other = H.word_hashes(data, starts, ends, seed=2)
+                sums = np.concatenate((np.zeros(1, H.U64), np.cumsum(other * up[:n])))
                 two = H.mix((sums[at + window] - sums[at]) * down[at])
                 rows = pa.array(np.full(len(at), r))
                 yield pa.RecordBatch.from_arrays(
@@ -195,7 +197,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
     marks = work.save(
         anchors.select("hash", "doc_id", "print", "place").join(shared, "hash")
         .where("not alike or low < doc_id")
-        .groupBy("doc_id", "print").agg(F.collect_list(F.col("place") * 2 + state).alias("marks")))
+        .groupBy("doc_id", "print").agg(F.collect_set(F.col("place") * 2 + state).alias("marks")))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
     # One exchange of the rows by key serves both joins below.
     marked = keyed.join(marks, ["doc_id", "print"], "left")
@@ -205,7 +207,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
     earliest = found.groupBy("one", "two").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
     repeated = found.join(earliest, ["one", "two"]).where("doc_id > low") \
-        .groupBy("doc_id", "print").agg(F.collect_list("place").alias("repeated"))
+        .groupBy("doc_id", "print").agg(F.collect_set("place").alias("repeated"))
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
     return marked.join(repeated, ["doc_id", "print"], "left").select("row", "marks", "repeated").mapInArrow(
         _cut(window, period, text_at, docs.columns, one_space), schema)

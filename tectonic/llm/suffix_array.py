@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
@@ -81,7 +82,9 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         seen[live] += grams[spots[at[live]]] == key[starts[live]]
         at[live] += 1
     text = np.searchsorted(offsets, starts, "right") - 1
-    content = H.span_hashes(sums, starts, ends - 1 + length)
+    raw = memoryview(data)  # long pieces: a digest, the windows' polynomial is for short ones only
+    content = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in
+                           zip(starts.tolist(), (ends - 1 + length).tolist())), H.U64, len(starts))
     return text, starts - offsets[text], ends - starts, key[starts], content, seen > 1
 
 
@@ -282,7 +285,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, shard_b
         (F.col("start") + F.col("high") + (length - 1)).alias("high")) \
         .union(shared.where("not mixed").select(
             "doc", "print", F.col("start"), F.col("start") + F.col("windows") + (length - 1)))
-    spans = work.save(covered.groupBy("doc", "print").agg(F.collect_list(F.struct("low", "high")).alias("cover")))
+    # a set: m equal rows have m times the same spans
+    spans = work.save(covered.groupBy("doc", "print").agg(F.collect_set(F.struct("low", "high")).alias("cover")))
     schema = StructType([*docs.schema.fields, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                          StructField("spans", ArrayType(StructType([StructField("start", LongType()),
                                                                     StructField("end", LongType())]))),

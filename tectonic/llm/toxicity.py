@@ -1,14 +1,15 @@
 """Toxicity scores from a weighted lexicon, matched by Aho-Corasick in folded text.
 
 Folding maps letters that look alike to one letter (accents, full-width and mathematical letters,
-Cyrillic and Greek lookalikes; l counts as i), drops invisible characters and combining marks, and
-reads digits and signs as letters inside words that also hold a letter (``1d1ot``). Words are then
+Cyrillic and Greek lookalikes), drops invisible characters and combining marks, and
+reads digits and signs as letters inside words that also hold a letter (``1d1ot``; 1 is read as i,
+so terms with an l are also looked for with i instead). Words are then
 joined by single spaces, and one automaton finds the lexicon's terms (whole words and beginnings of
 words) together with the exception phrases in one pass over the whole text. A term inside an
 exception phrase does not count; of the terms that start at the same word the heaviest does.
 
 The weights are log odds of a term's document frequencies in toxic and clean labelled documents,
-kept if a likelihood ratio test supports them. A phrase of a term and a neighbouring word that
+kept if a likelihood ratio test supports them against as many terms as there are. A phrase of a term and a neighbouring word that
 clean documents hold much more often than toxic ones becomes an exception. The score is a logistic
 function of the summed weight and of the weight per word, fitted on the same documents: a bounded
 sample, ``sample`` labelled documents at most from each class (expected), written once and read
@@ -38,7 +39,7 @@ from tectonic.llm.common import Workspace, prepare
 
 SAMPLE, TERMS, PHRASES = 10_000, 5_000, 1_000
 SHORTEST, LONGEST = 3, 8  # lengths of the beginnings of words
-SUPPORT = 20.0  # likelihood ratio statistic, about one chance in 10**5
+CHANCE, WEIGHT = 0.05, 1.5  # expected number of terms kept by chance alone, least log odds
 
 # Digits and signs read as letters.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
@@ -62,7 +63,7 @@ def _fold_table() -> dict[int, str | None]:
         table[ord(letter)] = table[ord(letter.upper())] = base
     for point in [*map(ord, INVISIBLE), *range(0x300, 0x370)]:
         table[point] = None
-    return {point: "i" if base == "l" else base for point, base in table.items()} | {ord("l"): "i"}
+    return table
 
 
 FOLD = _fold_table()
@@ -102,7 +103,8 @@ class Matcher:
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.automaton = ahocorasick.Automaton()
-        for term, weight in lexicon.weights.items():
+        read_as_i = {term.replace("l", "i"): weight for term, weight in lexicon.weights.items()}
+        for term, weight in (read_as_i | lexicon.weights).items():
             self.automaton.add_word(term, (len(term), weight))
         for phrase in lexicon.exceptions:
             self.automaton.add_word(phrase, (len(phrase), None))
@@ -216,12 +218,15 @@ def _likelihood_ratio(toxic: int, clean: int):
     return 2 * (part("toxic", toxic) + part("clean", clean))
 
 
-def _without_longer(weights: dict[str, float]) -> dict[str, float]:
-    """Terms that weigh more than every kept beginning of theirs."""
+def _told_apart(found: list[tuple[str, float, float]]) -> dict[str, float]:
+    """Of terms that begin one another, the one with the best ratio (the longest of equal ones)."""
     kept: dict[str, float] = {}
-    for term in sorted(weights, key=lambda t: (len(t.rstrip()), t)):
-        if all(kept.get(term[:n], 0.0) + 0.5 < weights[term] for n in range(SHORTEST + 1, len(term))):
-            kept[term] = weights[term]
+    within: set[str] = set()  # every beginning of a kept term
+    for term, weight, _ in sorted(found, key=lambda f: (-f[2], -len(f[0]), f[0])):
+        beginnings = {term[:n] for n in range(2, len(term) + 1)}
+        if term not in within and not any(b in kept for b in beginnings):
+            kept[term] = weight
+            within |= beginnings
     return kept
 
 
@@ -247,11 +252,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tu
         return Lexicon(exceptions=given)
     weight = (_log_odds("toxic", toxic) - _log_odds("clean", clean)).alias("weight")
     ratio = _likelihood_ratio(toxic, clean)
-    counted = texts.mapInArrow(_counted(lambda: _document_terms, "term"), "term string, toxic long, clean long") \
-        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    best = counted.where(ratio >= SUPPORT).select("term", weight, ratio.alias("ratio")).where("weight > 1") \
+    counted = work.save(texts.mapInArrow(_counted(lambda: _document_terms, "term"), "term string, toxic long, clean long")
+                        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+                        .where("toxic + clean > 3"))
+    # exp(-ratio / 2) bounds the chance of one term, so all of them together stay below CHANCE
+    support = 2 * float(np.log(max(counted.count(), 1) / CHANCE))
+    best = counted.where(ratio >= support).select("term", weight, ratio.alias("ratio")).where(F.col("weight") >= WEIGHT) \
         .orderBy(F.desc("ratio"), "term").limit(TERMS).collect()
-    lexicon = Lexicon(_without_longer({row["term"]: row["weight"] for row in best}), given)
+    lexicon = Lexicon(_told_apart([(row["term"], row["weight"], row["ratio"]) for row in best]), given)
     found_terms = Lexicon(lexicon.weights)
     phrases = texts.mapInArrow(_counted(lambda: _document_phrases(Matcher(found_terms)), "phrase"),
                                "phrase string, toxic long, clean long") \
@@ -262,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, exceptions: tu
     rows = texts.mapInArrow(_feature_rows(lexicon), "y int, sum double, share double").toArrow()
     lexicon.logit = _logit(np.column_stack((rows["sum"].to_numpy(), rows["share"].to_numpy())),
                            rows["y"].to_numpy().astype(np.float64))
-    work.drop(texts)
+    work.drop(texts, counted)
     return lexicon
 
 

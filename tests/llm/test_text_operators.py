@@ -305,3 +305,33 @@ def test_digest_queries(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.exact_repeats(spark, SF).collect()}
     assert got == {d: (n, gone, spans, hashlib.sha256(kept).hexdigest())
                    for d, n, gone, spans, kept in brute.byte_repeats(list(texts.items()))}
+
+
+def thue_morse():
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_of_two_letters_are_told_apart(spark):
+    one, two = thue_morse()
+    rest = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"q{one}z"), (4, f"q{two}z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in substring.remove_repeated_windows(table).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    few = spark.createDataFrame([(1, f"{one} x"), (2, f"{two} x")], "doc_id long, text string")
+    assert all(r.kept for r in minhash.near_duplicates(few, shingle=2, percent=80).collect())
+    expected = brute.byte_repeats(rows)
+    same([(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix_array.remove_repeats(table).collect()],
+         expected)
+
+
+def test_repeated_rows_cost_in_proportion(spark):
+    """The marks and spans of m equal rows are those of one row, not m times as many."""
+    text = " ".join(f"word{i}" for i in range(400))
+    rows = [(5, text)] * 300 + [(1, text)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r.doc_id, r.n_removed) for r in substring.remove_repeated_windows(table).collect()} == {(5, 400), (1, 0)}
+    got = suffix_array.remove_repeats(table)
+    assert {(r.n_removed, len(r.spans)) for r in got.collect()} == {(len(text), 1)}
