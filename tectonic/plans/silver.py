@@ -9,7 +9,7 @@ from ..functions.keys import event_key
 from ..operators.dedup import first_by_order
 from ..operators.events import type_events
 from ..operators.spatial import (DEFAULT_BANDS_PER_DEGREE, DEFAULT_BROADCAST_BYTES,
-                                 band_index_from_wkt, tag_points)
+                                 cell_index_from_wkt, tag_points)
 from ..schemas import FACT_COLUMNS
 
 typed_events = type_events
@@ -50,7 +50,7 @@ def tag_provinces(events: DataFrame, dim: DataFrame,
                   bands_per_degree: int | None = DEFAULT_BANDS_PER_DEGREE,
                   broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Every event with each province that covers its point (left join; null = offshore)."""
-    index = band_index_from_wkt(dim, "province_id", "geometry", bands_per_degree)
+    index = cell_index_from_wkt(dim, "province_id", "geometry", bands_per_degree)
     return tag_points(events, index, "longitude", "latitude", broadcast_bytes)
 
 
@@ -59,7 +59,7 @@ def fact_events(events: DataFrame, dim: DataFrame,
                 broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Typed events -> one row per event key, tagged with the smallest covering province.
 
-    Plan: key -> dedup (the only shuffle, on event_id, combined map-side) -> broadcast band
+    Plan: key -> dedup (the only shuffle, on event_id, combined map-side) -> broadcast cell
     join -> collapse border points per event_id, which reuses the event_id partitioning and
     adds no exchange. All located copies of a key share the point, hence the province set. The
     key skips nulls, so a copy without a coordinate can share the key of a located one; the
