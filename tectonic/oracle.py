@@ -8,7 +8,8 @@ dedup — so it shares no plan with the Spark implementation. Used by the correc
 from __future__ import annotations
 
 from .functions.text import PY_WHITESPACE
-from .sources.fixtures import BLANK_SQL, PROVINCE_FEATURES, SEED_LINES_SQL
+from .sources.fixtures import (BLANK_SQL, PROVINCE_FEATURES, SEED_LINES_SQL, SIDE_POINT_SQL,
+                               TRIANGLE_SQL)
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
 
@@ -261,9 +262,34 @@ SELECT province_name,
 FROM src GROUP BY province_name ORDER BY province_name""")
     q.update(extra_sql())
     q.update(geometry_sql())
+    q["border_points"] = border_sql()
     return q
 
 
+def border_sql() -> str:
+    """Every point against every triangle in whole numbers: doubles from 1/16 to 1 are multiples of
+    2**-56, so differences and their products are exact in 128 bits."""
+    triangles = TRIANGLE_SQL.format(events="events")
+    points = SIDE_POINT_SQL.format(events="events", triangles=triangles)
+
+    def whole(names):
+        return ", ".join(f"CAST({n} * 72057594037927936 AS HUGEINT) AS {n}" for n in names)
+    return f"""
+WITH corners AS (SELECT g, {whole(("ux", "uy", "vx", "vy", "wx", "wy"))} FROM ({triangles}) t),
+edges AS (
+  SELECT g, ux AS x1, uy AS y1, vx AS x2, vy AS y2 FROM corners
+  UNION ALL SELECT g, vx, vy, wx, wy FROM corners UNION ALL SELECT g, wx, wy, ux, uy FROM corners),
+points AS (SELECT event_id, {whole(("x", "y"))} FROM ({points}) p),
+sides AS (
+  SELECT event_id, x, y, g, x1, y1, x2, y2, (x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) AS side
+  FROM points CROSS JOIN edges),
+found AS (
+  SELECT event_id, g FROM sides GROUP BY event_id, g
+  HAVING bool_or(side = 0 AND x BETWEEN least(x1, x2) AND greatest(x1, x2) AND y BETWEEN least(y1, y2) AND greatest(y1, y2))
+    OR count(*) FILTER (WHERE (y1 > y) <> (y2 > y) AND (side > 0) = (y2 > y1)) % 2 = 1)
+SELECT p.event_id, f.g AS shape_id FROM points p LEFT JOIN found f USING (event_id)"""
+
+
 def _num(e: str) -> str:
     # shortest decimal text of a double, '139.0' -> '139'
     return f"regexp_replace(CAST({e} AS VARCHAR), '\\.0$', '')"

@@ -15,10 +15,10 @@ from .operators.quality import (fk_orphans, fk_set_null, length_violations, null
                                 pk_violations)
 from .operators.upsert import full_refresh, upsert_by_key
 from .functions.geometry import geometry_head, head_polygons, polygons_to_wkt, wkt_polygons, wkt_type
-from .operators.spatial import polygon_edges
+from .operators.spatial import build_cell_index, polygon_edges, tag_points
 from .plans import bronze, gold, silver
 from .sources.fixtures import (blanked_lines, dealt, event_cell_documents, province_geojson,
-                               seed_lines)
+                               seed_lines, side_points, triangles)
 from .sources.geojson import features_from_text
 from .sources.tables import table
 
@@ -266,3 +266,13 @@ QUERIES.update({
     "geo_edges": q_geo_edges,
     "dim_province": q_dim_province,
 })
+
+
+def q_border_points(spark, sf_dir):
+    """Points within a rounding error of oblique borders, tagged with every triangle they touch."""
+    ids = events(spark, sf_dir).select("event_id")
+    index = build_cell_index(triangles(ids), "shape_id")
+    return tag_points(side_points(ids), index, "x", "y").select("event_id", "shape_id")
+
+
+QUERIES["border_points"] = q_border_points

@@ -123,7 +123,35 @@ def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> Da
             .select("line_id", doc.alias("value")))
 
 
-def dealt(df, key: str):
-    """Seed rows of a one-row-group file, dealt out so that the lines derived from them use
-    every core (the number of partitions follows from their size at run time)."""
-    return df.repartition(key)
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Seed rows of a one-row-group file, dealt out over ``spark.sql.shuffle.partitions`` tasks so
+    that the lines derived from them use every core. The number is given, because AQE would merge
+    these few bytes of ids into one partition and derive all lines in one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
+
+
+# Triangles around [0.1, 0.9]; their corners and the points on their sides are written with the
+# same double arithmetic in Spark and DuckDB, so both engines see the same doubles.
+TRIANGLES = 60
+TRIANGLE_SQL = """select g, (100 + (g * 37) % 800) / cast(1000 as double) as ux, (100 + (g * 71) % 800) / cast(1000 as double) as uy,
+ (100 + (g * 113 + 400) % 800) / cast(1000 as double) as vx, (100 + (g * 59 + 150) % 800) / cast(1000 as double) as vy,
+ (100 + (g * 29 + 650) % 800) / cast(1000 as double) as wx, (100 + (g * 97 + 300) % 800) / cast(1000 as double) as wy
+from (select event_id % 60 as g from {events} group by event_id % 60) ids"""
+
+
+def triangles(events: DataFrame) -> DataFrame:
+    """``(shape_id, polygons)``: one triangle per remainder of the events' ids."""
+    corners = events.sparkSession.sql(TRIANGLE_SQL.format(events="{events}"), events=events)
+    ring = F.array(*[F.array(f"{c}x", f"{c}y") for c in "uvwu"])
+    return corners.select(F.col("g").alias("shape_id"), F.array(F.array(ring)).alias("polygons"))
+
+
+# A point for every event on a side of its triangle, as near as doubles come to it.
+SIDE_POINT_SQL = """select e.event_id, ux + (e.event_id % 17) / cast(16 as double) * (vx - ux) as x, uy + (e.event_id % 17) / cast(16 as double) * (vy - uy) as y
+from {events} e join ({triangles}) t on e.event_id % 60 = t.g"""
+
+
+def side_points(events: DataFrame) -> DataFrame:
+    sql = SIDE_POINT_SQL.format(events="{events}", triangles=TRIANGLE_SQL.format(events="{events}"))
+    return events.sparkSession.sql(sql, events=events)
