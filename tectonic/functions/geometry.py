@@ -110,11 +110,25 @@ def wkt_type(wkt: Column | str) -> Column:
 
 
 def wkt_polygons(wkt: Column | str) -> Column:
-    """WKT (Multi)Polygon -> polygon list, by rewriting the text into JSON arrays."""
+    """WKT (Multi)Polygon -> polygon list, by rewriting the text into JSON arrays. ``Z``, ``M`` and
+    ``ZM`` shapes keep x and y; ``EMPTY`` is a list without polygons; numbers may be written as
+    ``.5``, ``5.`` or ``+5``. Anything that is no polygon gives null."""
     w = col_of(wkt)
-    body = F.regexp_replace(w, r"^\s*[A-Za-z]+\s*", "")
-    pairs = F.regexp_replace(body, rf"({_TOKEN})\s+({_TOKEN})(?:\s+{_TOKEN})?", "[$1,$2]")
+    body = F.regexp_replace(w, r"(?i)^\s*(?:MULTI)?POLYGON(?:\s*(?:ZM|Z|M)(?=[\s(]))?\s*", "")
+    digits = F.regexp_replace(body, r"(?<![^\s(,])\+?(-?)\.(?=\d)", "$10.")
+    digits = F.regexp_replace(F.regexp_replace(digits, r"(?<![^\s(,])\+(?=\d)", ""), r"(?<=\d)\.(?=[\s,)eE])", ".0")
+    pairs = F.regexp_replace(digits, rf"({_TOKEN})\s+({_TOKEN})(?:\s+{_TOKEN})*", "[$1,$2]")
     as_json = F.translate(F.regexp_replace(pairs, r"\s+", ""), "()", "[]")
     kind = wkt_type(w)
-    return (F.when(kind == MULTIPOLYGON_TYPE, F.from_json(as_json, MULTIPOLYGON))
-            .when(kind == POLYGON_TYPE, F.array(F.from_json(as_json, POLYGON))))
+    polygons = (F.when(kind == MULTIPOLYGON_TYPE, F.from_json(as_json, MULTIPOLYGON))
+                .when(kind == POLYGON_TYPE, F.array(F.from_json(as_json, POLYGON))))
+    empty = F.when(kind.isNotNull(), F.from_json(F.lit("[]"), MULTIPOLYGON))
+    # one element, so that the parsed list is named and parsed once
+    whole = F.transform(F.array(polygons), lambda ps: F.when(~F.exists(ps, _unread_polygon), ps))[0]
+    return F.when(F.upper(F.trim(body)) == "EMPTY", empty).otherwise(whole)
+
+
+def _unread_polygon(polygon: Column) -> Column:
+    """Some ring, point or ordinate of the polygon is null (could not be read)."""
+    return polygon.isNull() | F.exists(polygon, lambda r: r.isNull() | F.exists(
+        r, lambda c: c.isNull() | F.exists(c, lambda x: x.isNull())))

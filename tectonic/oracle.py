@@ -8,7 +8,7 @@ dedup — so it shares no plan with the Spark implementation. Used by the correc
 from __future__ import annotations
 
 from .functions.text import PY_WHITESPACE
-from .sources.fixtures import (BLANK_SQL, PROVINCE_FEATURES, SEED_LINES_SQL, SIDE_POINT_SQL,
+from .sources.fixtures import (BLANK_SQL, PROVINCE_FEATURES, ROUGH_SQL, SEED_LINES_SQL, SIDE_POINT_SQL,
                                TRIANGLE_SQL)
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
@@ -263,6 +263,8 @@ FROM src GROUP BY province_name ORDER BY province_name""")
     q.update(extra_sql())
     q.update(geometry_sql())
     q["border_points"] = border_sql()
+    q.update(fault_sql())
+    q.update(stored_sql())
     return q
 
 
@@ -388,3 +390,84 @@ SELECT f.* REPLACE (CASE WHEN d.province_id IS NOT NULL THEN f.province_id END A
 FROM fact f LEFT JOIN (SELECT DISTINCT province_id FROM dim WHERE province_name <> 'Delta') d
   ON f.province_id = d.province_id""")
     return q
+
+
+ROUGH = f"SELECT line_id, {ROUGH_SQL} AS raw_line FROM ({SEED}) rough_seed"
+
+
+def fault_sql() -> dict[str, str]:
+    """Hard lines, broken rules and rejects."""
+    q = {"rough_events": typed_sql(ROUGH)}
+    rows = f"WITH rows AS (SELECT event_id, event_time, latitude, longitude FROM ({keyed_sql(ROUGH)}) k)"
+    required = ("event_id", "event_time", "latitude", "longitude")
+    q["fact_null_violations"] = rows + " UNION ALL ".join(
+        f" SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM rows" for c in required)
+    listed = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c} NOT NULL' END" for c in required)
+    q["fact_broken_rules"] = rows + f"""
+SELECT * FROM (SELECT *, concat_ws(', ', {listed}) AS broken_rules FROM rows) WHERE broken_rules <> ''"""
+    cells = geometry_sql()["geo_features"]
+    cells = cells[:cells.rindex("SELECT province_id")].rstrip() + """,
+faulty AS (
+  SELECT CASE WHEN line_id % 11 = 0 OR line_id % 13 = 0 OR line_id % 17 <> 0 THEN province_id
+              ELSE replace(province_id, 'EV.', 'EV.LONG-') END AS province_id,
+    CASE WHEN line_id % 11 = 0 OR line_id % 13 = 0 OR line_id % 17 = 0 OR line_id % 23 <> 0 THEN province_name
+      END AS province_name,
+    CASE WHEN line_id % 11 = 0 OR line_id % 13 = 0 THEN NULL ELSE geometry END AS geometry,
+    CASE WHEN line_id % 11 = 0 THEN 'geometry type' WHEN line_id % 13 = 0 THEN 'coordinates' END AS reason
+  FROM shapes)"""
+    names = ("province_id", "province_name", "geometry")
+    q["dim_rule_violations"] = cells + " UNION ALL ".join([
+        f" SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS violations, "
+        "CAST(NULL AS INTEGER) AS max_length FROM faulty" for c in names] + [
+        f" SELECT '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS violations, {n} AS max_length FROM faulty"
+        for c, n in (("province_id", 10), ("province_name", 255))])
+    rules = ", ".join([f"CASE WHEN {c} IS NULL THEN '{c} NOT NULL' END" for c in names]
+                      + ["CASE WHEN length(province_id) > 10 THEN 'province_id VARCHAR(10)' END"])
+    q["dim_quarantine"] = cells + f"""
+SELECT province_id, province_name, geometry, concat_ws(', ', {rules}) AS broken_rules FROM (
+  SELECT *, row_number() OVER (PARTITION BY province_id
+                               ORDER BY province_name NULLS LAST, geometry NULLS LAST) AS rn FROM faulty)
+WHERE rn = 1"""
+    nb = f"trim(raw_line, {WS}) <> ''"
+    lat, lon = (f"nullif(trim(substr(raw_line, {a}, {n}), {WS}), '')" for a, n in ((23, 6), (34, 7)))
+    t14 = f"substr(nullif(trim(substr(raw_line, 2, 16), {WS}), ''), 1, 14)"
+    q["reject_ledger"] = cells + f""",
+raw AS (SELECT {BLANK_SQL} AS raw_line FROM ({ROUGH}) r),
+reasons AS (
+  SELECT 'lines' AS source, CASE WHEN NOT ({nb}) THEN 'blank' WHEN length(raw_line) < 96 THEN 'short'
+    WHEN NOT coalesce(length({lat}) = 6 AND length({lon}) = 7, false) THEN 'coordinate shape'
+    WHEN ({_coord(lat, 2)}) IS NULL OR ({_coord(lon, 3)}) IS NULL THEN 'coordinate value'
+    WHEN NOT coalesce(regexp_full_match({t14}, '[0-9]{{14}}'), false) OR try_strptime({t14}, '%Y%m%d%H%M%S') IS NULL
+      THEN 'event time' END AS reason FROM raw
+  UNION ALL SELECT 'features', reason FROM faulty
+  UNION ALL SELECT 'geometries', CASE WHEN province_id LIKE '%7' THEN 'wkt' END FROM shapes)
+SELECT source, reason, count(*) AS rejected FROM reasons WHERE reason IS NOT NULL GROUP BY source, reason"""
+    return q
+
+
+def stored_sql() -> dict[str, str]:
+    """Ordered models, pivots and data written and read back."""
+    q = {}
+    models = [("gold_total_quakes_by_year", "year(event_time)", "label NULLS LAST"),
+              ("gold_earthquake_by_month", "month(event_time)", "label NULLS LAST"),
+              ("gold_earthquake_depth_distribution", DEPTH_CASE, "label NULLS LAST"),
+              ("gold_earthquake_by_province", "coalesce(province_name, 'Offshore')", "n DESC, label"),
+              ("gold_quake_shindo_proportion", "shindo_value", "label NULLS LAST")]
+    q["gold_ranks"] = with_fact(" UNION ALL ".join(f"""
+SELECT '{name}' AS model, row_number() OVER (ORDER BY {order}) AS row_rank, CAST(label AS VARCHAR) AS label FROM (
+  SELECT {label} AS label, count(*) AS n FROM fact LEFT JOIN dim USING (province_id) GROUP BY 1)"""
+                                                   for name, label, order in models))
+    q["event_ranks"] = f"""
+SELECT line_id, magnitude_1, row_number() OVER (ORDER BY magnitude_1 DESC NULLS LAST, line_id) AS row_rank
+FROM ({typed_sql()}) t"""
+    classes = ("0", "1", "2", "3", "4", "5-", "5+", "6-", "6+", "7")
+    cases = [("n", "sum", "1", "ELSE 0"), ("stations", "sum", "station_count", "ELSE 0"),
+             ("most", "max", "station_count", ""), ("counted", "count", "station_count", "")]
+    listed = ", ".join(f"CAST({agg}(CASE WHEN shindo_value = '{c}' THEN {then} {other} END) AS BIGINT) AS \"{prefix}_{c}\""
+                       for prefix, agg, then, other in cases for c in classes)
+    q["region_class_pivots"] = f"SELECT region_text, {listed} FROM ({typed_sql()}) t GROUP BY region_text"
+    q["upsert_buckets"] = extra_sql()["upsert_by_key"]
+    q["stored_lines"] = f"SELECT {BLANK_SQL} AS raw_line FROM ({SEED}) s"
+    q["stored_objects"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS stored_as, line_id, raw_line FROM ({SEED}) s" for name in ("bronze_lines", "records", "objects"))
+    return q

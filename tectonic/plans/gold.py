@@ -76,13 +76,26 @@ def quakes_by_province(fact: DataFrame, dim: DataFrame) -> DataFrame:
             .orderBy(F.desc("earthquake_count"), F.asc("province_name")))
 
 
+# The aggregates a pivot may take.
+PIVOT_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg, "count": F.count}
+
+
+def pivot(df: DataFrame, key: str, column: str, values, agg: str = "sum", then_value: F.Column | str | int = 1,
+          else_value: int | None = 0) -> DataFrame:
+    """One row per ``key``, one column per listed value of ``column``: the aggregate, over all rows
+    of the key, of ``then_value`` where the row has that value and of ``else_value`` where it has
+    another (None: such rows don't count). One pass of conditional aggregates, combined map-side."""
+    function = PIVOT_AGGREGATES[agg]
+    then = F.expr(then_value) if isinstance(then_value, str) else F.lit(then_value)
+    return df.groupBy(key).agg(*[
+        function(F.when(F.col(column) == F.lit(v), then).otherwise(F.lit(else_value))).alias(str(v)) for v in values])
+
+
 def pivot_counts(df: DataFrame, key: str, column: str, values, count_col: str = "n"
                  ) -> DataFrame:
-    """One row per ``key``, one bigint column per listed value (missing -> 0)."""
-    names = [str(v) for v in values]
-    pivoted = df.groupBy(key).pivot(column, list(values)).agg(F.sum(count_col))
-    return pivoted.select(key, *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n)
-                                 for n in names])
+    """One row per ``key``, one bigint column per listed value (missing -> 0), of rows that carry
+    counts."""
+    return pivot(df, key, column, values, "sum", F.col(count_col))
 
 
 def province_year_pivot(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -91,6 +104,24 @@ def province_year_pivot(fact: DataFrame, dim: DataFrame) -> DataFrame:
         .orderBy(F.asc_nulls_last("province_name"))
 
 
+# The order of each model's rows (ascending with nulls last; counts descending).
+MODEL_ORDER = {
+    "gold_total_quakes_by_year": [F.asc_nulls_last, "event_year"],
+    "gold_earthquake_by_month": [F.asc_nulls_last, "event_month"],
+    "gold_earthquake_depth_distribution": [F.asc_nulls_last, "depth_range"],
+    "gold_earthquake_magnitude_distribution": [F.asc_nulls_last, "magnitude_range"],
+    "gold_quake_shindo_proportion": [F.asc_nulls_last, "shindo_value"],
+    "gold_earthquake_by_province": [F.desc, "earthquake_count", F.asc, "province_name"],
+    "gold_earthquake_by_province_year": [F.asc_nulls_last, "province_name"],
+}
+
+
+def model_order(table: str) -> list[F.Column]:
+    """Sort columns of a model (made on demand: columns need a session)."""
+    spec = MODEL_ORDER[table]
+    return [direction(column) for direction, column in zip(spec[::2], spec[1::2])]
+
+
 # --- all models from one pass over the fact ---------------------------------------------
 
 def summary_counts(fact: DataFrame) -> DataFrame:

@@ -13,15 +13,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
 
-from ..functions.text import is_blank
-from ..operators.slicing import CATALOGUE_RECORD_LENGTH
+from ..schemas import SLICED_COLUMNS
 from ..sinks import paths
-from ..sinks.metrics import observed
 from ..sinks.files import write_dataset
 from ..sinks.tables import materialize_bucketed
 from ..sources.geojson import read_features
 from ..sources.text import read_raw_lines
 from . import bronze, gold, silver
+from .ledger import FEATURE_REASONS, LINE_REASONS, feature_reasons, line_reasons, observed_reasons
 
 # The gold models and the per-model function computing each directly from the fact (the
 # end-to-end run derives them all from one summary instead; results are the same).
@@ -47,12 +46,10 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
     """
     report: dict = {}
     raw = read_raw_lines(spark, raw_dir)
-    # load metrics ride along with the first write that scans the lines (no extra pass)
-    blank = is_blank("raw_line")
-    lines, line_obs = observed(
-        raw, "raw_lines", blank_lines=F.count_if(blank),
-        short_lines=F.count_if(~blank & (F.length("raw_line") < CATALOGUE_RECORD_LENGTH)))
-    records = bronze.sliced_records(bronze.nonblank_lines(lines))
+    # metrics and rejects ride along with the first write that scans the lines (no extra pass)
+    lines, line_obs = observed_reasons(line_reasons(raw, keep=("filename",)), "raw_lines", F.col("reason"), LINE_REASONS,
+                                       num_files=F.size(F.collect_set(F.xxhash64("filename"))))
+    records = bronze.nonblank_lines(lines).select(*SLICED_COLUMNS)
     if write_bronze:
         report["bronze_raw_sliced"] = write_dataset(records, root, "bronze", "quake",
                                                     "bronze_raw_sliced")
@@ -61,15 +58,21 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
     report["silver_quake_event"] = write_dataset(events, root, "silver", "quake",
                                                  "silver_quake_event")
     seen = line_obs.get
-    report["ingest"] = {"num_files": len(raw.inputFiles()), "num_lines": seen["records"],
-                        "blank_lines": seen["blank_lines"],
-                        "records": seen["records"] - seen["blank_lines"],
-                        "short_lines": seen["short_lines"],
+    # files that hold a line, counted by the scan itself (8 bytes a file reach the driver)
+    report["ingest"] = {"num_files": seen["num_files"], "num_lines": seen["records"],
+                        "blank_lines": seen["rejected_blank"],
+                        "records": seen["records"] - seen["rejected_blank"],
+                        "short_lines": seen["rejected_short"],
                         "typed_records": report["silver_quake_event"]["records"]}
-    dim = silver.dim_province(read_features(spark, geojson_path))
+    report["rejected_lines"] = {r: seen[f"rejected_{r.replace(' ', '_')}"] for r in LINE_REASONS}
+    features = feature_reasons(read_features(spark, geojson_path))
+    features, feature_obs = observed_reasons(features, "features", F.col("reason"), FEATURE_REASONS)
+    dim = silver.dim_province(features.drop("reason"))
     report["silver_dim_japan_province"] = write_dataset(dim, root, "silver", "quake",
                                                         "silver_dim_japan_province")
 
+    seen = feature_obs.get
+    report["rejected_features"] = {r: seen[f"rejected_{r.replace(' ', '_')}"] for r in FEATURE_REASONS}
     stored_events = spark.read.parquet(report["silver_quake_event"]["path"])
     stored_dim = spark.read.parquet(report["silver_dim_japan_province"]["path"])
     fact = silver.fact_events(stored_events, stored_dim)
@@ -87,7 +90,8 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
                                                   "quake", "gold_summary_counts")
     counts = spark.read.parquet(report["gold_summary_counts"]["path"])
     for table, df in gold.models_from_counts(counts, stored_dim).items():
-        report[table] = write_dataset(df, root, "gold", "quake", table, max_files=1)
+        report[table] = write_dataset(df, root, "gold", "quake", table, max_files=1,
+                                      sort_by=gold.model_order(table))
     return report
 
 

@@ -6,6 +6,7 @@ per row, see ``sources.fixtures``), so every query's work grows with the data.
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,14 +14,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions.datetimes import coerce_datetimes
 from .operators.quality import (fk_orphans, fk_set_null, length_violations, null_violations,
                                 pk_violations)
+from .operators.constraints import BROKEN, with_broken_rules
+from .operators.dedup import first_by_order
+from .operators.ordering import with_rank
 from .operators.upsert import full_refresh, upsert_by_key
 from .functions.geometry import geometry_head, head_polygons, polygons_to_wkt, wkt_polygons, wkt_type
 from .operators.spatial import build_cell_index, polygon_edges, tag_points
-from .plans import bronze, gold, silver
-from .sources.fixtures import (blanked_lines, dealt, event_cell_documents, province_geojson,
-                               seed_lines, side_points, triangles)
+from .plans import bronze, gold, ledger, silver
+from .schemas import DIM_CONSTRAINTS, DIM_PROVINCE, FACT_CONSTRAINTS
+from .session import scratch_path
+from .sinks import buckets, files, tables
+from .sources.datasets import read_dataset
+from .sources.fixtures import (BLANK_SQL, blanked_lines, dealt, event_cell_documents, faulty_cell_documents,
+                               province_geojson, rough_lines, seed_lines, side_points, triangles)
 from .sources.geojson import features_from_text
 from .sources.tables import table
+from .sources.text import read_raw_lines
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,3 +285,156 @@ def q_border_points(spark, sf_dir):
 
 
 QUERIES["border_points"] = q_border_points
+
+
+# --- faults: hard lines, broken rules, rejects -------------------------------------------
+
+def q_rough_events(spark, sf_dir):
+    """Typed events of lines with planted faults."""
+    return silver.typed_events(bronze.sliced_records(rough_lines(spark, events(spark, sf_dir)), keep=("line_id",)))
+
+
+def rough_fact_rows(spark, sf_dir):
+    """Fact rows of the hard lines, before deduplication."""
+    return silver.fact_projection(silver.keyed_events(q_rough_events(spark, sf_dir)))
+
+
+def faulty_dim_rows(spark, sf_dir):
+    docs = faulty_cell_documents(typed(spark, sf_dir))
+    return silver.province_shapes(features_from_text(docs.select("value")))
+
+
+def q_fact_null_violations(spark, sf_dir):
+    """NOT NULL columns of the fact over the hard lines (times and coordinates that cannot be read)."""
+    return null_violations(rough_fact_rows(spark, sf_dir), FACT_CONSTRAINTS.required)
+
+
+def q_dim_rule_violations(spark, sf_dir):
+    """The dimension's NOT NULL and VARCHAR(n) rules over faulty features."""
+    rows = faulty_dim_rows(spark, sf_dir)
+    nulls = null_violations(rows, DIM_CONSTRAINTS.required).withColumn("max_length", F.lit(None).cast("int"))
+    return nulls.unionByName(length_violations(rows, DIM_CONSTRAINTS.lengths))
+
+
+def _fresh(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_dim_quarantine(spark, sf_dir):
+    """The dimension, one row per id, loaded into its table by its declared rules: the table's rows
+    and those that were sorted out, with the rules they break."""
+    database = f"checked_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_fresh(spark, database)}'")
+    tables.create_tables(spark, database)
+    rows = first_by_order(faulty_dim_rows(spark, sf_dir), ["province_id"], ["province_name", "geometry"])
+    tables.load_checked(rows, f"{database}.dim_province", DIM_CONSTRAINTS, f"{database}.quarantine")
+    kept = spark.table(f"{database}.dim_province").select("*", F.lit("").alias(BROKEN))
+    out = spark.table(f"{database}.quarantine")
+    return out.select(*DIM_PROVINCE.fieldNames(), F.array_join(BROKEN, ", ").alias(BROKEN)).unionByName(kept)
+
+
+def q_fact_broken_rules(spark, sf_dir):
+    """Every fact row of the hard lines that breaks a declared rule, with the rules."""
+    rows = rough_fact_rows(spark, sf_dir).withColumn("province_id", F.lit(None).cast("string"))
+    return with_broken_rules(rows, FACT_CONSTRAINTS).where(F.size(BROKEN) > 0).select(
+        "event_id", "event_time", "latitude", "longitude", F.array_join(BROKEN, ", ").alias(BROKEN))
+
+
+def q_reject_ledger(spark, sf_dir):
+    """Rejected lines, features and WKT texts by reason."""
+    raw = rough_lines(spark, events(spark, sf_dir)).select("line_id", F.expr(BLANK_SQL).alias("raw_line"))
+    lines_ledger = ledger.ledger(ledger.line_reasons(raw), "lines", "reason")
+    docs = faulty_cell_documents(typed(spark, sf_dir))
+    features = ledger.feature_reasons(features_from_text(docs.select("value")))
+    shapes = silver.province_shapes(cell_features(spark, sf_dir)).select(F.expr(
+        "case when endswith(province_id, '7') then replace(geometry, '((', '((north ') else geometry end").alias("wkt"))
+    return lines_ledger.unionByName(ledger.ledger(features, "features", "reason")) \
+        .unionByName(ledger.ledger(shapes, "geometries", ledger.wkt_reason("wkt")))
+
+
+# --- ordered models, pivots, written data ------------------------------------------------
+
+RANKED_MODELS = ("gold_total_quakes_by_year", "gold_earthquake_by_month", "gold_earthquake_depth_distribution",
+                 "gold_earthquake_by_province", "gold_quake_shindo_proportion")
+
+
+def q_gold_ranks(spark, sf_dir):
+    """The place of every row of five ordered models, by their label."""
+    path = _fresh(spark, "counts")
+    gold.summary_counts(fact(spark, sf_dir)).write.parquet(path)
+    models = gold.models_from_counts(spark.read.parquet(path), dim(spark))
+    out = None
+    for name in RANKED_MODELS:
+        ranked = with_rank(models[name], gold.model_order(name)).select(
+            F.lit(name).alias("model"), "row_rank", F.col(models[name].columns[0]).cast("string").alias("label"))
+        out = ranked if out is None else out.unionByName(ranked)
+    return out
+
+
+def q_event_ranks(spark, sf_dir):
+    """The place of every typed event by magnitude (largest first, nulls last), then line."""
+    rows = typed(spark, sf_dir).select("line_id", "magnitude_1")
+    return with_rank(rows, [F.desc_nulls_last("magnitude_1"), F.asc("line_id")])
+
+
+# The intensity classes pivoted into columns.
+PIVOT_CLASSES = ("0", "1", "2", "3", "4", "5-", "5+", "6-", "6+", "7")
+PIVOTS = (("n", "sum", 1, 0), ("stations", "sum", "station_count", 0), ("most", "max", "station_count", None),
+          ("counted", "count", "station_count", None))
+
+
+def q_region_class_pivots(spark, sf_dir):
+    """Events and their station counts (sum, greatest, number of known ones) by intensity class for
+    every region: four pivots, each with its own aggregate and value."""
+    rows = typed(spark, sf_dir).select("region_text", "shindo_value", "station_count")
+    out = None
+    for prefix, agg, then, other in PIVOTS:
+        wide = gold.pivot(rows, "region_text", "shindo_value", PIVOT_CLASSES, agg, then, other)
+        named = wide.select("region_text", *[F.col(f"`{c}`").cast("long").alias(f"{prefix}_{c}") for c in PIVOT_CLASSES])
+        out = named if out is None else out.join(named, "region_text")
+    return out
+
+
+def q_upsert_buckets(spark, sf_dir):
+    """The customer table written in buckets, then upserted bucket by bucket and read back."""
+    path = _fresh(spark, "customer")
+    buckets.write_buckets(table(spark, sf_dir, "customer"), path, UPSERT_KEYS, 16)
+    buckets.upsert_buckets(spark, path, balance_updates(spark, sf_dir), UPSERT_KEYS, UPSERT_COLUMNS)
+    return buckets.read_buckets(spark, path)
+
+
+def q_stored_lines(spark, sf_dir):
+    """Catalogue lines written as text files and read back by the directory scan."""
+    path = _fresh(spark, "lines")
+    blanked_lines(spark, events(spark, sf_dir)).select("raw_line").write.text(path)
+    return read_raw_lines(spark, path).select("raw_line")
+
+
+def q_stored_objects(spark, sf_dir):
+    """The same rows stored as Parquet, JSON lines and binary objects, each read back by its key."""
+    root = _fresh(spark, "objects")
+    rows = lines(spark, sf_dir)
+    files.write_dataset(rows, root, "bronze", "quake", "bronze_lines", file_bytes=1 << 20)
+    files.write_json_records(rows, f"{root}/bronze/quake/records.jsonl")
+    files.write_binary(rows, f"{root}/bronze/quake/objects.blobs", "line_id", "raw_line")
+    stored = {name: read_dataset(spark, root, "bronze", "quake", name) for name in ("bronze_lines", "records", "objects")}
+    stored["objects"] = stored["objects"].select(F.col("path").cast("long").alias("line_id"),
+                                                 F.col("content").cast("string").alias("raw_line"))
+    parts = [df.select(F.lit(name).alias("stored_as"), "line_id", "raw_line") for name, df in stored.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+QUERIES.update({
+    "rough_events": q_rough_events,
+    "fact_null_violations": q_fact_null_violations,
+    "dim_rule_violations": q_dim_rule_violations,
+    "dim_quarantine": q_dim_quarantine,
+    "fact_broken_rules": q_fact_broken_rules,
+    "reject_ledger": q_reject_ledger,
+    "gold_ranks": q_gold_ranks,
+    "event_ranks": q_event_ranks,
+    "region_class_pivots": q_region_class_pivots,
+    "upsert_buckets": q_upsert_buckets,
+    "stored_lines": q_stored_lines,
+    "stored_objects": q_stored_objects,
+})

@@ -2,10 +2,7 @@
 
 from pyspark.sql import types as T
 
-RAW_LINES = T.StructType([
-    T.StructField("filename", T.StringType()),
-    T.StructField("raw_line", T.StringType()),
-])
+from .operators.constraints import Constraints
 
 # The 15 sliced catalogue fields, in record order.
 SLICED_COLUMNS = (
@@ -14,8 +11,6 @@ SLICED_COLUMNS = (
     "magnitude_raw_2", "magnitude_type_raw_2", "region_lead_raw", "region_text_raw", "shindo_raw",
 )
 
-SLICED = T.StructType([T.StructField(c, T.StringType()) for c in SLICED_COLUMNS])
-
 # The typed event columns the sliced fields are renamed to, by position.
 EVENT_COLUMNS = (
     "record_type", "event_time", "station_count", "latitude", "lat_dev", "longitude", "lon_dev",
@@ -23,25 +18,6 @@ EVENT_COLUMNS = (
     "region_lead", "region_text", "shindo",
 )
 
-EVENTS = T.StructType([
-    T.StructField("record_type", T.StringType()),
-    T.StructField("event_time", T.TimestampNTZType()),
-    T.StructField("station_count", T.IntegerType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("lat_dev", T.StringType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("lon_dev", T.StringType()),
-    T.StructField("depth", T.DoubleType()),
-    T.StructField("magnitude_1", T.DoubleType()),
-    T.StructField("magnitude_type_1", T.StringType()),
-    T.StructField("magnitude_2", T.DoubleType()),
-    T.StructField("magnitude_type_2", T.StringType()),
-    T.StructField("region_lead", T.StringType()),
-    T.StructField("region_text", T.StringType()),
-    T.StructField("shindo", T.StringType()),
-    T.StructField("shindo_value", T.StringType()),
-])
-
 DIM_PROVINCE = T.StructType([
     T.StructField("province_id", T.StringType()),
     T.StructField("province_name", T.StringType()),
@@ -64,6 +40,12 @@ FACT_EVENT = T.StructType([
     T.StructField("shindo_value", T.StringType()),
 ])
 
+# Declared constraints of the two warehouse tables.
+DIM_CONSTRAINTS = Constraints(key=("province_id",), not_null=("province_name", "geometry"),
+                              lengths={"province_id": 10, "province_name": 255})
+FACT_CONSTRAINTS = Constraints(key=("event_id",), not_null=("event_time", "latitude", "longitude"),
+                               lengths={"event_id": 64, "magnitude_type_1": 10, "magnitude_type_2": 10, "province_id": 10})
+
 FACT_COLUMNS = tuple(f.name for f in FACT_EVENT.fields)
 
 # GeoJSON FeatureCollection read with an explicit schema: `geometry` stays raw JSON text, so

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,28 +11,53 @@ from . import paths
 from .metrics import observed
 
 
-def write_parquet(df: DataFrame, path: str, max_files: int | None = None,
-                  partition_by: tuple[str, ...] = ()) -> dict:
+@contextmanager
+def _target_size(spark: SparkSession, file_bytes: int | None):
+    """The size that AQE aims at when it deals out partitions, for the writes inside."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    if file_bytes:
+        spark.conf.set(key, str(file_bytes))
+    try:
+        yield
+    finally:
+        if file_bytes:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def write_parquet(df: DataFrame, path: str, file_bytes: int | None = None, partition_by: tuple[str, ...] = (),
+                  max_files: int | None = None, max_records: int | None = None, sort_by: tuple = ()) -> dict:
     """Overwrite ``path`` with ``df`` as Parquet; returns ``{path, type, records}``.
 
-    Files are written in parallel, one or more per task. ``max_files`` narrows the output
-    (``coalesce``) for small tables only: it also narrows the upstream stage.
+    Files are written in parallel, one or more per task. With ``file_bytes`` the rows are dealt out
+    anew just before the write, so that files hold at most about that much (as measured in the
+    shuffle; Parquet usually packs it smaller): large partitions are split, small ones are joined
+    as long as every core has one. ``max_files`` deals small tables out to so many tasks instead.
+    Either way the stage that computes the rows keeps its own tasks. ``max_records`` bounds a file's
+    rows; ``sort_by`` orders the rows of each file.
     """
     out, obs = observed(df)
     if max_files:
-        out = out.coalesce(max_files)
+        out = out.repartition(max_files)
+    elif file_bytes:
+        out = out.hint("rebalance", *partition_by)
+    if sort_by:
+        out = out.sortWithinPartitions(*sort_by)
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if max_records:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    with _target_size(df.sparkSession, file_bytes):
+        writer.parquet(path)
     return {"path": path, "type": "parquet", "records": obs.get["records"]}
 
 
 def write_dataset(df: DataFrame, root: str, layer: str, schema: str, table: str,
-                  max_files: int | None = None) -> dict:
+                  file_bytes: int | None = None, max_files: int | None = None, sort_by: tuple = ()) -> dict:
     """Write under ``root/layer/schema/<table>.parquet`` (the dataset key convention)."""
     return write_parquet(df, paths.join(root, paths.dataset_key(layer, schema, table, "parquet")),
-                         max_files)
+                         file_bytes, max_files=max_files, sort_by=sort_by)
 
 
 def _require_suffix(path: str, suffix: str) -> None:

@@ -44,6 +44,29 @@ BLANK_SQL = ("case when line_id % 13 = 0 then '   ' when line_id % 17 = 0 then '
              "else raw_line end")
 
 
+# Seed lines with faults that the typing has to survive: a month 13, a 30th of February, letters in
+# coordinates of the right width, tabs, no-break spaces, signs and fractions around station counts,
+# letters in depth and magnitude. Runs unchanged in Spark SQL and DuckDB.
+ROUGH_SQL = """case when length(raw_line) < 96 then raw_line
+ when line_id % 19 = 0 then concat(substr(raw_line, 1, 5), '13', substr(raw_line, 8))
+ when line_id % 43 = 0 then concat(substr(raw_line, 1, 5), '0230', substr(raw_line, 10))
+ when line_id % 47 = 0 then concat(substr(raw_line, 1, 22), '3x4512', substr(raw_line, 29))
+ when line_id % 53 = 0 then concat(substr(raw_line, 1, 22), 'N. Lat', ' 012 ', 'E. Long', substr(raw_line, 41))
+ when line_id % 59 = 0 then concat(substr(raw_line, 1, 18), chr(9), '7 ', substr(raw_line, 22))
+ when line_id % 61 = 0 then concat(substr(raw_line, 1, 18), chr(160), '9', chr(160), substr(raw_line, 22))
+ when line_id % 67 = 0 then concat(substr(raw_line, 1, 18), '1.5', substr(raw_line, 22))
+ when line_id % 71 = 0 then concat(substr(raw_line, 1, 18), '+7 ', substr(raw_line, 22))
+ when line_id % 73 = 0 then concat(substr(raw_line, 1, 18), 'x1 ', substr(raw_line, 22))
+ when line_id % 79 = 0 then concat(substr(raw_line, 1, 44), ' ab cde ', substr(raw_line, 53))
+ when line_id % 83 = 0 then concat(substr(raw_line, 1, 52), chr(9), '5', substr(raw_line, 55))
+ else raw_line end"""
+
+
+def rough_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Seed lines with planted faults (``ROUGH_SQL``)."""
+    return seed_lines(spark, events).select("line_id", F.expr(ROUGH_SQL).alias("raw_line"))
+
+
 def seed_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
     """``(line_id, raw_line)``, one catalogue line per event row.
 
@@ -123,6 +146,17 @@ def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> Da
             .select("line_id", doc.alias("value")))
 
 
+def faulty_cell_documents(events: DataFrame) -> DataFrame:
+    """Cell documents of which some hold a geometry type that is no polygon, some a text among the
+    coordinates, some an id above ten characters and some no name."""
+    return event_cell_documents(events).select("line_id", F.expr(r"""case
+ when line_id % 11 = 0 then regexp_replace(value, '"(Multi)?Polygon"', '"Point"')
+ when line_id % 13 = 0 then replace(value, '"coordinates": [', '"coordinates": ["x", ')
+ when line_id % 17 = 0 then replace(value, '"GID_1":"EV.', '"GID_1":"EV.LONG-')
+ when line_id % 23 = 0 then regexp_replace(value, '"NAME_1":"[^"]*"', '"NAME_1":null')
+ else value end""").alias("value"))
+
+
 def dealt(df: DataFrame, key: str) -> DataFrame:
     """Seed rows of a one-row-group file, dealt out over ``spark.sql.shuffle.partitions`` tasks so
     that the lines derived from them use every core. The number is given, because AQE would merge
