@@ -13,6 +13,7 @@ Anchors that occur in several documents are extended to windows:
 * the remaining windows around shared anchors (near the ends of matches) are hashed themselves
   (two 64-bit hashes over independent word hashes) and decided by their own smallest document. The smallest document that holds such a
   window shares an aligned anchor with each of the others, so its window is always among them.
+  Windows that always follow one another are decided as one chain: only its ends are joined back.
 
 Anchor and window hashes are aggregated (map-side combined) before they are joined back, so a
 passage that a third of all documents share is one row; the join back can be split by AQE.
@@ -121,11 +122,13 @@ def _open_windows(window: int, period: int, text_at: int):
                 other = H.word_hashes(data, starts, ends, seed=2)
                 sums = np.concatenate((np.zeros(1, H.U64), np.cumsum(other * up[:n])))
                 two = H.mix((sums[at + window] - sums[at]) * down[at])
+                after = np.zeros(len(at), H.U64)  # the next window, if it is open too
+                after[:-1] = np.where(np.diff(at) == 1, one[1:], H.U64(0))
                 rows = pa.array(np.full(len(at), r))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(after.view(np.int64)),
                      batch.column(0).take(rows), batch.column(1).take(rows),
-                     pa.array(at.astype(np.int64))], ["one", "two", "doc_id", "print", "place"])
+                     pa.array(at.astype(np.int64))], ["one", "two", "after", "doc_id", "print", "place"])
     return run
 
 
@@ -144,7 +147,11 @@ def _cut(window: int, period: int, text_at: int, names: list[str], one_space: bo
                     if marks[r].is_valid:
                         begin |= _window_spans(marks[r].values.to_numpy(), REPEATED, n, window, period - 1)
                     if repeated[r].is_valid:
-                        begin[repeated[r].values.to_numpy()] = True
+                        chain = repeated[r].values.to_numpy()  # its first and last window
+                        steps = np.zeros(n + 1, np.int64)
+                        np.add.at(steps, chain[chain % 4 >= 2] // 4, 1)
+                        np.add.at(steps, chain[chain % 2 == 1] // 4 + 1, -1)
+                        begin |= np.cumsum(steps)[:n] > 0
                     at = np.flatnonzero(begin)
                     steps = np.zeros(n + 1, np.int64)
                     np.add.at(steps, at, 1)
@@ -175,6 +182,28 @@ def _cut(window: int, period: int, text_at: int, names: list[str], one_space: bo
     return run
 
 
+def _chain_ends(found: DataFrame, work: Workspace) -> DataFrame:
+    """(one, two, low, ends) of the first and last window of every chain: ends is 2 for the first, 1
+    for the last, 3 for a chain of one. Two windows are tied if every place of the one is followed
+    by the other and the other has no more places; they then lie in the same documents, side by
+    side, and are decided together, so a document gets a row or two for a chain instead of one for
+    each of its windows."""
+    windows = work.save(found.groupBy("one", "two").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("places"),
+        F.min("after").alias("after"), F.max("after").alias("after_too"))
+        .where("low < high").select("one", "two", "low", "places", F.expr(
+            "case when after = after_too and after <> 0 then after end").alias("after")))
+    tied = work.save(windows.where("after is not null").select(
+        F.col("one").alias("first_one"), F.col("two").alias("first_two"), F.col("after").alias("one"), "places")
+        .join(windows.select("one", "two", "places"), ["one", "places"]).select("first_one", "first_two", "one", "two"))
+    starts = windows.join(tied.select("one", "two"), ["one", "two"], "left_anti").select(
+        "one", "two", "low", F.lit(2).alias("end"))
+    stops = windows.join(tied.select(F.col("first_one").alias("one"), F.col("first_two").alias("two")), ["one", "two"],
+                         "left_anti").select("one", "two", "low", F.lit(1).alias("end"))
+    return work.save(starts.unionByName(stops).groupBy("one", "two").agg(
+        F.min("low").alias("low"), F.sum("end").alias("ends")))
+
+
 def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
                             one_space: bool = False, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
@@ -203,11 +232,10 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
     marked = keyed.join(marks, ["doc_id", "print"], "left")
     text_at = docs.columns.index(text_col)
     found = marked.select("doc_id", "print", "row", "marks").mapInArrow(
-        _open_windows(window, period, text_at), "one long, two long, doc_id long, print long, place long")
-    earliest = found.groupBy("one", "two").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
-    repeated = found.join(earliest, ["one", "two"]).where("doc_id > low") \
-        .groupBy("doc_id", "print").agg(F.collect_set("place").alias("repeated"))
+        _open_windows(window, period, text_at), "one long, two long, after long, doc_id long, print long, place long")
+    ends = _chain_ends(found, work)
+    repeated = found.join(ends, ["one", "two"]).where("doc_id > low").groupBy("doc_id", "print").agg(
+        F.collect_set(F.col("place") * 4 + F.col("ends")).alias("repeated"))
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
     return marked.join(repeated, ["doc_id", "print"], "left").select("row", "marks", "repeated").mapInArrow(
         _cut(window, period, text_at, docs.columns, one_space), schema)

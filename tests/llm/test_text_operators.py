@@ -335,3 +335,23 @@ def test_repeated_rows_cost_in_proportion(spark):
     assert {(r.doc_id, r.n_removed) for r in substring.remove_repeated_windows(table).collect()} == {(5, 400), (1, 0)}
     got = suffix_array.remove_repeats(table)
     assert {(r.n_removed, len(r.spans)) for r in got.collect()} == {(len(text), 1)}
+
+
+def test_a_shared_passage_is_joined_back_by_its_ends(spark, monkeypatch):
+    """Documents share a passage in ever different surroundings: two rows a chain of windows."""
+    rng = random.Random(9)
+    passage = " ".join(f"shared{i}" for i in range(63))
+
+    def around(d):
+        return " ".join(f"d{d}w{rng.randrange(10**6)}" for _ in range(45))
+    rows = [(d, f"{around(d)} {passage} {around(d)}") for d in range(1, 61)]
+    rows += [(100 + d, f"{around(d)} {' '.join(passage.split()[5:60])} {around(d)}") for d in range(5)]
+    joined = []
+    ends = substring._chain_ends
+    monkeypatch.setattr(substring, "_chain_ends", lambda found, work: joined.append((found, ends(found, work))) or joined[-1][1])
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_removed, r.text) for r in substring.remove_repeated_windows(table, one_space=True).collect()]
+    same(got, brute.repeated_windows(rows))
+    found, chains = joined[0]
+    # 14 windows in 60 documents, of which 6 are in five more: chains of 5, 6 and 3 windows
+    assert found.join(chains, ["one", "two"]).where("doc_id > low").count() == 59 * 6 + 5 * 2 < 59 * 14 < found.count()
