@@ -124,11 +124,19 @@ def _open_windows(window: int, period: int, text_at: int):
                 two = H.mix((sums[at + window] - sums[at]) * down[at])
                 after = np.zeros(len(at), H.U64)  # the next window, if it is open too
                 after[:-1] = np.where(np.diff(at) == 1, one[1:], H.U64(0))
-                rows = pa.array(np.full(len(at), r))
+                # a row for each distinct window: lines that a text repeats make few of them
+                order = np.lexsort((two, one))
+                one, two, after, at = (values[order].view(np.int64) for values in (one, two, after, at))
+                first = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+                bounds = np.append(first, len(at)) * 8
+                places = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(first), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(at.tobytes())])
+                rows = pa.array(np.full(len(first), r))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(after.view(np.int64)),
-                     batch.column(0).take(rows), batch.column(1).take(rows),
-                     pa.array(at.astype(np.int64))], ["one", "two", "after", "doc_id", "print", "place"])
+                    [pa.array(one[first]), pa.array(two[first]), pa.array(np.minimum.reduceat(after, first)),
+                     pa.array(np.maximum.reduceat(after, first)), pa.array(np.diff(bounds) // 8),
+                     batch.column(0).take(rows), batch.column(1).take(rows), places.cast(pa.binary())],
+                    ["one", "two", "after", "after_too", "n", "doc_id", "print", "places"])
     return run
 
 
@@ -147,10 +155,13 @@ def _cut(window: int, period: int, text_at: int, names: list[str], one_space: bo
                     if marks[r].is_valid:
                         begin |= _window_spans(marks[r].values.to_numpy(), REPEATED, n, window, period - 1)
                     if repeated[r].is_valid:
-                        chain = repeated[r].values.to_numpy()  # its first and last window
                         steps = np.zeros(n + 1, np.int64)
-                        np.add.at(steps, chain[chain % 4 >= 2] // 4, 1)
-                        np.add.at(steps, chain[chain % 2 == 1] // 4 + 1, -1)
+                        for chain in repeated[r].as_py():  # places of a chain's first and last window
+                            places = np.frombuffer(chain["places"], np.int64)
+                            if chain["ends"] >= 2:
+                                np.add.at(steps, places, 1)
+                            if chain["ends"] % 2:
+                                np.add.at(steps, places + 1, -1)
                         begin |= np.cumsum(steps)[:n] > 0
                     at = np.flatnonzero(begin)
                     steps = np.zeros(n + 1, np.int64)
@@ -189,8 +200,8 @@ def _chain_ends(found: DataFrame, work: Workspace) -> DataFrame:
     side, and are decided together, so a document gets a row or two for a chain instead of one for
     each of its windows."""
     windows = work.save(found.groupBy("one", "two").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("places"),
-        F.min("after").alias("after"), F.max("after").alias("after_too"))
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("n").alias("places"),
+        F.min("after").alias("after"), F.max("after_too").alias("after_too"))
         .where("low < high").select("one", "two", "low", "places", F.expr(
             "case when after = after_too and after <> 0 then after end").alias("after")))
     tied = work.save(windows.where("after is not null").select(
@@ -232,10 +243,11 @@ def remove_repeated_windows(docs: DataFrame, window: int = 50, period: int = 31,
     marked = keyed.join(marks, ["doc_id", "print"], "left")
     text_at = docs.columns.index(text_col)
     found = marked.select("doc_id", "print", "row", "marks").mapInArrow(
-        _open_windows(window, period, text_at), "one long, two long, after long, doc_id long, print long, place long")
+        _open_windows(window, period, text_at), "one long, two long, after long, after_too long, n long, "
+        "doc_id long, print long, places binary")
     ends = _chain_ends(found, work)
-    repeated = found.join(ends, ["one", "two"]).where("doc_id > low").groupBy("doc_id", "print").agg(
-        F.collect_set(F.col("place") * 4 + F.col("ends")).alias("repeated"))
+    repeated = found.select("one", "two", "doc_id", "print", "places").join(ends, ["one", "two"]).where("doc_id > low") \
+        .groupBy("doc_id", "print").agg(F.collect_set(F.struct("ends", "places")).alias("repeated"))
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
     return marked.join(repeated, ["doc_id", "print"], "left").select("row", "marks", "repeated").mapInArrow(
         _cut(window, period, text_at, docs.columns, one_space), schema)

@@ -355,3 +355,13 @@ def test_a_shared_passage_is_joined_back_by_its_ends(spark, monkeypatch):
     found, chains = joined[0]
     # 14 windows in 60 documents, of which 6 are in five more: chains of 5, 6 and 3 windows
     assert found.join(chains, ["one", "two"]).where("doc_id > low").count() == 59 * 6 + 5 * 2 < 59 * 14 < found.count()
+
+
+def test_lines_that_texts_repeat_are_few_windows(spark):
+    """Texts that repeat a line many times: a row for each distinct window of a text, not for each place."""
+    lines = [" ".join(f"{c}{i}" for i in range(7)) for c in "abc"]
+    rows = [(d, " ".join([f"start{d}", *[lines[d % 3]] * (20 + d), f"end{d}"])) for d in range(1, 25)]
+    rows += [(50, "again " * 300), (51, "again " * 120 + "x"), (51, "again " * 120 + "x"), (52, "again " * 49)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_removed, r.text) for r in substring.remove_repeated_windows(table, one_space=True).collect()]
+    same(got, brute.repeated_windows(rows))
