@@ -280,7 +280,7 @@ QUERIES.update({
 def q_border_points(spark, sf_dir):
     """Points within a rounding error of oblique borders, tagged with every triangle they touch."""
     ids = events(spark, sf_dir).select("event_id")
-    index = build_cell_index(triangles(ids), "shape_id")
+    index = build_cell_index(triangles(ids), "shape_id", bands_per_degree=64)
     return tag_points(side_points(ids), index, "x", "y").select("event_id", "shape_id")
 
 
