@@ -240,8 +240,8 @@ def build_cell_index(shapes: DataFrame, id_col: str = "province_id", polygons_co
         ("area", F.col("h") * F.col("w")))]).first()
     n = int(st["n"])
     bands, columns = choose_per_degree(n, st["h"], st["dy"] + st["dx"], st["area"])
-    bands = bands_per_degree or bands
-    columns = min(columns, bands)
+    if bands_per_degree:  # given: square cells
+        bands = columns = bands_per_degree
     box_cells = int(st["area"] * bands * columns + 2 * (st["h"] * bands + st["w"] * columns) + 4 * st["shapes"]) + 1
     copies = int(st["dy"] * bands + st["dx"] * columns) + 3 * n
     heavy = None
