@@ -466,6 +466,7 @@ FROM ({typed_sql()}) t"""
     listed = ", ".join(f"CAST({agg}(CASE WHEN shindo_value = '{c}' THEN {then} {other} END) AS BIGINT) AS \"{prefix}_{c}\""
                        for prefix, agg, then, other in cases for c in classes)
     q["region_class_pivots"] = f"SELECT region_text, {listed} FROM ({typed_sql()}) t GROUP BY region_text"
+    q["split_boundaries"] = geometry_sql()["geo_wkt"]
     q["upsert_buckets"] = extra_sql()["upsert_by_key"]
     q["stored_lines"] = f"SELECT {BLANK_SQL} AS raw_line FROM ({SEED}) s"
     q["stored_objects"] = " UNION ALL ".join(

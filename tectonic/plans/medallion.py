@@ -17,7 +17,7 @@ from ..schemas import SLICED_COLUMNS
 from ..sinks import paths
 from ..sinks.files import write_dataset
 from ..sinks.tables import materialize_bucketed
-from ..sources.geojson import read_features
+from ..sources.geojson import split_features
 from ..sources.text import read_raw_lines
 from . import bronze, gold, silver
 from .ledger import FEATURE_REASONS, LINE_REASONS, feature_reasons, line_reasons, observed_reasons
@@ -65,7 +65,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, geojson_path: str, root: str
                         "short_lines": seen["rejected_short"],
                         "typed_records": report["silver_quake_event"]["records"]}
     report["rejected_lines"] = {r: seen[f"rejected_{r.replace(' ', '_')}"] for r in LINE_REASONS}
-    features = feature_reasons(read_features(spark, geojson_path))
+    features = feature_reasons(split_features(spark, geojson_path))
     features, feature_obs = observed_reasons(features, "features", F.col("reason"), FEATURE_REASONS)
     dim = silver.dim_province(features.drop("reason"))
     report["silver_dim_japan_province"] = write_dataset(dim, root, "silver", "quake",

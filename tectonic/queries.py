@@ -25,9 +25,9 @@ from .schemas import DIM_CONSTRAINTS, DIM_PROVINCE, FACT_CONSTRAINTS
 from .session import scratch_path
 from .sinks import buckets, files, tables
 from .sources.datasets import read_dataset
-from .sources.fixtures import (BLANK_SQL, blanked_lines, dealt, event_cell_documents, faulty_cell_documents,
+from .sources.fixtures import (BLANK_SQL, blanked_lines, cell_collections, dealt, event_cell_documents, faulty_cell_documents,
                                province_geojson, rough_lines, seed_lines, side_points, triangles)
-from .sources.geojson import features_from_text
+from .sources.geojson import features_from_text, split_features
 from .sources.tables import table
 from .sources.text import read_raw_lines
 
@@ -424,7 +424,15 @@ def q_stored_objects(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_split_boundaries(spark, sf_dir):
+    """Shapes of large FeatureCollections stored as files, each cut and parsed by many tasks."""
+    path = _fresh(spark, "boundaries")
+    cell_collections(typed(spark, sf_dir)).write.text(path)
+    return silver.province_shapes(split_features(spark, path))
+
+
 QUERIES.update({
+    "split_boundaries": q_split_boundaries,
     "rough_events": q_rough_events,
     "fact_null_violations": q_fact_null_violations,
     "dim_rule_violations": q_dim_rule_violations,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Integer arithmetic only; runs unchanged in Spark SQL and DuckDB. Lines are 96 characters,
 # one in 97 is cut to 80.
@@ -119,15 +119,11 @@ def province_geojson() -> str:
 CELL_HALF_WIDTH = 0.005
 
 
-def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> DataFrame:
-    """One GeoJSON FeatureCollection document per typed event: a square cell around the
+def event_cell_features(events: DataFrame, half: float = CELL_HALF_WIDTH) -> DataFrame:
+    """One GeoJSON feature ``(line_id, value)`` per typed event: a square cell around the
     event, id ``EV.<region_lead>`` and name ``region_text`` (ids repeat across events, so the
     dimension dedup has work to do). Records without a second magnitude type become
-    MultiPolygons, the rest Polygons, so both geometry types occur.
-
-    Output ``(line_id, value)``; a carrier that lets the GeoJSON / WKT operators run over
-    data that grows with ``events``.
-    """
+    MultiPolygons, the rest Polygons, so both geometry types occur."""
     x, y = F.col("longitude"), F.col("latitude")
     ring = F.array(*[F.array(x + dx, y + dy) for dx, dy in
                      ((-half, -half), (half, -half), (half, half), (-half, half), (-half, -half))])
@@ -139,11 +135,28 @@ def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> Da
         F.when(multi, F.concat(F.lit("["), coords, F.lit("]"))).otherwise(coords), F.lit("}"))
     props = F.to_json(F.struct(F.concat(F.lit("EV."), F.col("region_lead")).alias("GID_1"),
                                F.col("region_text").alias("NAME_1")))
-    doc = F.concat(F.lit('{"type": "FeatureCollection", "features": [{"type": "Feature", '
-                         '"properties": '), props, F.lit(', "geometry": '), geometry,
-                   F.lit("}]}"))
-    return (events.where(x.isNotNull() & y.isNotNull())
-            .select("line_id", doc.alias("value")))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": '), props, F.lit(', "geometry": '), geometry, F.lit("}"))
+    return events.where(x.isNotNull() & y.isNotNull()).select("line_id", feature.alias("value"))
+
+
+def _collection(features: Column) -> Column:
+    return F.concat(F.lit('{"type": "FeatureCollection", "features": ['), features, F.lit("]}"))
+
+
+def event_cell_documents(events: DataFrame, half: float = CELL_HALF_WIDTH) -> DataFrame:
+    """One GeoJSON FeatureCollection document per typed event, holding its cell; a carrier that lets the
+    GeoJSON / WKT operators run over data that grows with ``events``. Output ``(line_id, value)``."""
+    return event_cell_features(events, half).select("line_id", _collection(F.col("value")).alias("value"))
+
+
+# Features of one large document (some 25 MB of text).
+COLLECTION_FEATURES = 100_000
+
+
+def cell_collections(events: DataFrame, features: int = COLLECTION_FEATURES) -> DataFrame:
+    """``value``: large FeatureCollections, each with the cells of ``features`` successive line ids."""
+    return event_cell_features(events).groupBy(F.floor(F.col("line_id") / features).alias("document")) \
+        .agg(_collection(F.array_join(F.collect_list("value"), ", ")).alias("value")).select("value")
 
 
 def faulty_cell_documents(events: DataFrame) -> DataFrame:
