@@ -9,8 +9,9 @@ begin and end at piece boundaries, so they are encoded in parallel (each piece s
 merges of the rank file), and a text's ids are put together in order.
 Decoding concatenates the raw bytes of the ids.
 
-Texts of one chunk need no exchange. Longer ones travel as chunks; one text's ids are the unit
-that must fit a task, as the result holds them in one row.
+Texts of up to ``chunk`` characters are cut into smaller chunks (``within``) and stitched in the task
+that reads them, without an exchange; longer ones travel as chunks. One text's ids are the unit that
+must fit a task, as the result holds them in one row.
 
 Defined results: a null or empty text has no ids. Repeated rows are encoded each. Other columns
 are not needed and not returned.
@@ -19,6 +20,7 @@ are not needed and not returned.
 from __future__ import annotations
 
 import base64
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tectonic.llm.common import prepare
 
-CHUNK = 1 << 16
-OVERLAP = 1 << 10
+CHUNK, OVERLAP = 1 << 16, 1 << 10  # characters of a chunk that travels, and of its overlap
+WITHIN, WITHIN_OVERLAP = 1 << 10, 1 << 6  # of a chunk of a text that stays in its task
 SPACE = regex.compile(r"\s")
 _ENCODERS: dict = {}
 
@@ -81,11 +83,14 @@ def stitch(pattern, chunks: list[str], starts: list[list[int]], size: int) -> li
             return [stretch for stretch in out if stretch]
         # The last piece of a chunk may go on after its end; its start is still a boundary.
         edge = (k + 1) * size
-        ends = [p for p in own if base + p > begin and not SPACE.match(text, p - 1)]
-        mine = {base + p for p in ends if base + p >= edge}
-        meet = next((edge + p for p in starts[k + 1] if edge + p in mine), None)
+
+        def is_end(p: int) -> bool:
+            return base + p > begin and not SPACE.match(text, p - 1)
+
+        mine = {base + p for p in own[bisect_left(own, edge - base):] if is_end(p)}
+        meet = next((edge + p for p in starts[k + 1] if edge + p in mine), None) if mine else None
         if meet is None:
-            go_on = max(ends, default=begin - base)
+            go_on = next((p for p in reversed(own) if is_end(p)), begin - base)
             out.append(text[begin - base:go_on])
             text = text[go_on:] + chunks[k + 1][base + len(text) - edge:]
             base = begin = base + go_on
@@ -95,17 +100,26 @@ def stitch(pattern, chunks: list[str], starts: list[list[int]], size: int) -> li
         k, text, own, base, begin = k + 1, chunks[k + 1], starts[k + 1], edge, meet
 
 
+def encode_in_chunks(own: Encoder, text: str, size: int, overlap: int) -> np.ndarray:
+    """Ids of a whole text by overlapping chunks of ``size`` characters."""
+    chunks = [text[at:at + size + overlap] for at in range(0, len(text), size)]
+    if len(chunks) <= 1:
+        return own.ids(text)
+    found = stitch(own.pattern, chunks, [boundaries(own.pattern, c) for c in chunks], size)
+    return np.concatenate([own.ids(stretch) for stretch in found])
+
+
 def _int_lists(lists: list) -> pa.Array:
     ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
     flat = np.concatenate([np.asarray(x, np.int32) for x in lists]) if lists else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _encode_texts(ranks: str, pattern: str):
+def _encode_texts(ranks: str, pattern: str, size: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks, pattern)
         for batch in batches:
-            ids = [own.ids(text) if text else () for text in batch.column(1).to_pylist()]
+            ids = [encode_in_chunks(own, text, size, overlap) if text else () for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _int_lists(ids)], ["doc_id", "ids"])
     return run
 
@@ -151,13 +165,15 @@ def _encode_stretches(ranks: str, pattern: str):
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", within: int = WITHIN,
+           within_overlap: int = WITHIN_OVERLAP) -> DataFrame:
     """doc_id and ids (array<int>) of each row's whole text. ``ranks`` is the path of a rank
     file that every executor can open."""
     prepare(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     one = F.coalesce(F.length("text"), F.lit(0)) <= chunk
-    short = texts.where(one).mapInArrow(_encode_texts(ranks, pattern), "doc_id long, ids array<int>")
+    short = texts.where(one).mapInArrow(
+        _encode_texts(ranks, pattern, within, within_overlap), "doc_id long, ids array<int>")
     rows = "row long, doc_id long, k int, "
     whole = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").where(~one) \
         .mapInArrow(_chunk_rows(chunk, overlap), rows + "text string") \
