@@ -10,9 +10,15 @@ next candidate's length cannot reach its k-th best score; pairs whose partial su
 bound cannot reach it are not scored. Remaining pairs get exact integer scores.
 
 The longest block runs first; the k-th best scores it gives are the starting thresholds in all
-other blocks. Ties go to the smaller id.
-
-Defined results: null vectors and vectors with a null or non-finite component take no part;
+other blocks. A query's threshold over its length is the length that a candidate needs to reach it.
+Queries are dealt into blocks of ascending need, and only pairs of blocks in which the longest
+candidate has the least need are formed at all: a block of short candidates is copied to few
+blocks of queries. For this the driver sees one number for each block (8 bytes for 8,192 candidates
+and for 1,024 queries). Ties go to the smaller id.
+
+Defined results: components and scores outside the range of a long become its nearest value
+(scores are summed exactly first);
+null vectors and vectors with a null or non-finite component take no part;
 repeated rows are rows of their own (only the query's own row is left out); vectors of other
 dimensions are compared over the leading components they share; a null id takes no part; extra
 columns are ignored; an empty table gives no rows.
@@ -20,8 +26,6 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,23 +38,6 @@ CANDIDATES, QUERIES, STEP, SAMPLE = 8192, 1024, 512, 4096
 SLACK = 1e-6  # covers rounding of the rotated sums, relative to the product of lengths
 
 
-def _quantise(scale: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, ints, norms = [], [], []
-            for r, vector in enumerate(batch.column(1).to_pylist()):
-                if vector is None or None in vector or not np.isfinite(vector).all():
-                    continue
-                whole = np.floor(np.asarray(vector, np.float64) * scale)
-                keep.append(r)
-                ints.append(whole.astype(np.int64).tolist())
-                norms.append(float(np.sqrt((whole * whole).sum())))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(ints, pa.list_(pa.int64())),
-                 pa.array(norms, pa.float64())], ["vec_id", "ints", "norm"])
-    return run
-
-
 def _matrix(lists: pa.ChunkedArray, dim: int) -> np.ndarray:
     lists = lists.combine_chunks()
     values, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
@@ -61,11 +48,26 @@ def _matrix(lists: pa.ChunkedArray, dim: int) -> np.ndarray:
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer products of all rows; through floating point where that is exact."""
-    largest = (int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0))) * a.shape[1]
+    """Integer products of all rows; through floating point where that is exact, and by integers
+    of any size where a long could overflow."""
+    largest = a.shape[1]
+    for part in (a, b):
+        largest *= max(abs(int(part.min(initial=0))), int(part.max(initial=0)))
     if largest < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if largest < 1 << 63:
+        return a @ b.T
+    limits = np.iinfo(np.int64)
+    return np.clip(a.astype(object) @ b.astype(object).T, limits.min, limits.max).astype(np.int64)
+
+
+def reached(longest: list[float], needs: list[float]) -> tuple[list[int], list[int]]:
+    """For each candidate block the number of query blocks that it can still serve, and for each
+    query block the number of candidate blocks that can serve it. ``longest`` descends, ``needs``
+    ascends, so both are counts from the first block on."""
+    lengths, needs = np.asarray(longest, np.float64), np.asarray(needs, np.float64)
+    return (np.searchsorted(needs, lengths, "right").tolist(),
+            np.searchsorted(-lengths, -needs, "right").tolist())
 
 
 def search(queries: np.ndarray, own: np.ndarray, floor: np.ndarray, candidates: np.ndarray,
@@ -83,6 +85,8 @@ def search(queries: np.ndarray, own: np.ndarray, floor: np.ndarray, candidates:
     rest_c = np.sqrt((turned_c[:, lead:] ** 2).sum(axis=1))
     best: list[list[tuple[int, int]]] = [[] for _ in queries]
     floor, scored = floor.astype(np.float64).copy(), 0
+    lowest = float(np.iinfo(np.int64).min)
+    floor[floor <= lowest] = -np.inf  # such a score may stand for any below it
     for at in range(0, len(candidates), step):
         part = slice(at, at + step)
         slack = SLACK * length_q * length[at] + SLACK
@@ -106,7 +110,8 @@ def search(queries: np.ndarray, own: np.ndarray, floor: np.ndarray, candidates:
             merged.sort(key=lambda s: (-s[0], s[1]))
             best[q] = merged[:k]
             if len(best[q]) == k:
-                floor[q] = max(floor[q], best[q][-1][0])
+                worst = float(best[q][-1][0])
+                floor[q] = max(floor[q], worst if worst > lowest else -np.inf)
     return best, scored
 
 
@@ -131,35 +136,61 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
           query_block: int = QUERIES, lead: int = 16, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best rows. ``is_query`` is a column
     condition on ``vec_id``."""
-    work = Workspace(vectors.sparkSession)
-    rows = work.save(vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`"))
-                     .where("vec_id is not null")
-                     .mapInArrow(_quantise(scale), "vec_id long, ints array<long>, norm double"))
+    spark = vectors.sparkSession
+    work = Workspace(spark)
+    vector = F.col("vector")
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = work.save(
+        vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").alias("vector"))
+        .where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)))
+        .select("vec_id", F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("ints"))
+        .withColumn("norm", F.sqrt(F.aggregate(
+            "ints", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))))
     n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.size("ints")), F.lit(0))).first()
     fitted = _matrix(rows.orderBy(F.xxhash64("vec_id")).limit(sample).select("ints").toArrow()["ints"], dim)
     rotation = np.linalg.svd(fitted, full_matrices=True)[2].T if len(fitted) >= dim else np.eye(dim)
     blocks = max(1, -(-n // candidate_block))
-    dealt = work.save(rows.repartitionByRange(blocks, F.col("norm").desc(), "vec_id")
-                      .select("vec_id", "ints", F.spark_partition_id().alias("c"),
-                              F.monotonically_increasing_id().alias("row")))
-    queries = dealt.where(is_query).select("vec_id", "ints", "row")
+    dealt = work.save(rows.withColumn("row", F.monotonically_increasing_id())
+                      .repartitionByRange(blocks, F.col("norm").desc(), "vec_id", "row")
+                      .select("vec_id", "ints", "norm", "row", F.spark_partition_id().alias("c")))
+    queries = dealt.where(is_query).select("vec_id", "ints", "norm", "row")
     query_blocks = max(1, -(-queries.count() // query_block))
-    queries = queries.withColumn("q", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int"))
 
-    def best(own: DataFrame, first: int, last: int) -> DataFrame:
-        left = own.select("*", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("c"))
-        right = dealt.where(F.col("c").between(first, last)).select(
-            "*", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"))
+    def best(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
             _search_blocks(rotation, lead, k), "query_row long, query_id long, vec_id long, score long")
 
-    found = work.save(best(queries.withColumn("floor", F.lit(float("-inf"))), 0, 0))
-    if blocks > 1:
+    longest = [(r.c, r.norm) for r in dealt.groupBy("c").agg(F.max("norm").alias("norm")).orderBy("c").collect()]
+    start = longest[0][0] if longest else 0
+    found = work.save(best(
+        queries.select("vec_id", "ints", "row", F.lit(float("-inf")).alias("floor"), F.lit(start).alias("c"),
+                       F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("q")),
+        dealt.where(F.col("c") == start).select(
+            "*", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"))))
+    if len(longest) > 1:
         floors = found.groupBy("query_row").agg(
             F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
-        ready = work.save(queries.join(floors, queries["row"] == floors["query_row"], "left").select(
-            "vec_id", "ints", "row", "q", F.coalesce("floor", F.lit(float("-inf"))).alias("floor")))
-        found = found.union(best(ready, 1, blocks - 1))
+        # The margin keeps every candidate that rounding could let through in the walk.
+        need = F.when((F.col("floor") > 0) & (F.col("norm") > 0),
+                      F.col("floor") / F.col("norm") * (1 - 4 * SLACK)).otherwise(F.lit(0.0))
+        ready = work.save(
+            queries.join(floors, queries["row"] == floors["query_row"], "left")
+            .select("vec_id", "ints", "row", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), need.alias("need"))
+            .repartitionByRange(query_blocks, "need", "row").withColumn("q", F.spark_partition_id()))
+        needs = [(r.q, r.need) for r in ready.groupBy("q").agg(F.min("need").alias("need")).orderBy("q").collect()]
+        serves, served = reached([norm for _, norm in longest], [need for _, need in needs])
+        # Block numbers may have gaps (empty ranges), so pairs go by position among those with rows.
+        places = spark.createDataFrame([(c, i, m) for i, ((c, _), m) in enumerate(zip(longest, serves))],
+                                       "c int, place int, serves int")
+        spans = spark.createDataFrame([(q, i, m) for i, ((q, _), m) in enumerate(zip(needs, served))],
+                                      "q int, turn int, served int")
+        left = ready.join(spans, "q").where("served > 1").select(
+            "vec_id", "ints", "row", "floor", F.col("turn").alias("q"),
+            F.explode(F.sequence(F.lit(1), F.col("served") - 1)).alias("c"))
+        right = dealt.join(places, "c").where("place > 0 and serves > 0").select(
+            "vec_id", "ints", "row", F.col("place").alias("c"),
+            F.explode(F.sequence(F.lit(0), F.col("serves") - 1)).alias("q"))
+        found = found.union(best(left, right))
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return found.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k) \
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
