@@ -6,6 +6,9 @@ class with a multiplicity first. Each table hashes a vector to the signs of ``bi
 hyperplanes; two vectors at cosine c agree on a bit with p = 1 - acos(c) / pi. ``bits`` follows
 from the number of vectors (buckets of about ``target`` vectors), and the number of tables from
 the wanted bound on the chance to miss a pair at the threshold: (1 - p**bits)**tables <= miss.
+``bits`` ends at 30, so that a sign fits an integer; a label of more than target * 2**30 vectors
+gets larger buckets, which are dealt as blocks like any other. A vector travels once for each of
+its buckets with more than one member, with the signs of the earlier tables only.
 
 A bucket is verified as matrix products. Buckets above ``block`` vectors are dealt as pairs of
 blocks to several tasks, so no group grows beyond two blocks and no bucket is capped. A pair that
@@ -40,6 +43,12 @@ def plan_tables(vectors: int, threshold: float, target: int = TARGET, miss: floa
     return bits, math.ceil(math.log(miss) / math.log(1 - agree))
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, largest component between a half and one: cosines and signs
+    stay as they are, and products neither overflow nor vanish."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, initial=0))[1][:, None])
+
+
 def _signature_rows(bits: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -47,13 +56,13 @@ def _signature_rows(bits: int, tables: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             values, starts = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
-            out = np.zeros((len(ids), tables), np.int64)
+            out = np.zeros((len(ids), tables), np.int32)
             sizes = np.diff(starts)
             for d in np.unique(sizes).tolist():
                 if d not in planes:
                     planes[d] = np.random.default_rng((SEED, d)).standard_normal((d, bits * tables))
                 rows = np.flatnonzero(sizes == d)
-                above = (values[starts[rows][:, None] + np.arange(d)].astype(np.float64) @ planes[d]) > 0
+                above = (_scaled(values[starts[rows][:, None] + np.arange(d)].astype(np.float64)) @ planes[d]) > 0
                 out[rows] = (above.reshape(len(rows), tables, bits) * weights).sum(axis=2)
             offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * tables)
             yield pa.RecordBatch.from_arrays(
@@ -66,15 +75,15 @@ def _verify(threshold: float):
         n = table.num_rows
         ids, own, copies = (table[c].to_numpy() for c in ("id", "own", "copies"))
         at = key[0].as_py()
-        unit = table["embedding"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(n, -1)
+        unit = _scaled(table["embedding"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(n, -1))
         length = np.sqrt((unit * unit).sum(axis=1))
-        signs = table["signs"].combine_chunks().flatten().to_numpy().reshape(n, -1)
+        signs = table["signs"].combine_chunks().flatten().to_numpy().reshape(n, at)
         linked = (unit @ unit.T) >= threshold * np.outer(length, length)
         np.fill_diagonal(linked, False)
         if key[-2].as_py() != key[-1].as_py():
             linked &= own[:, None] != own[None, :]
         x, y = np.nonzero(linked)
-        first = ~(signs[x, :at] == signs[y, :at]).any(axis=1)
+        first = ~(signs[x] == signs[y]).any(axis=1)
         x, y = x[first], y[first]
         links = np.bincount(x, weights=copies[y], minlength=n).astype(np.int64)
         label = np.arange(n)
@@ -105,7 +114,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     most = classes.groupBy("label").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     bits, tables = plan_tables(most, threshold, target, miss)
     signs = work.save(classes.select("id", "embedding").mapInArrow(
-        _signature_rows(bits, tables), "id long, signs array<long>"))
+        _signature_rows(bits, tables), "id long, signs array<int>"))
     kinds = classes.select("id", "label", F.size("embedding").alias("dim"))
     placed = signs.join(kinds, "id").select("id", "label", "dim", F.posexplode("signs").alias("place", "sign"))
     bucket = ["place", "label", "dim", "sign"]
@@ -117,6 +126,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
         .select(*bucket, "id", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     found = work.save(
         dealt.join(classes.select("id", "embedding", "copies"), "id").join(signs, "id")
+        .withColumn("signs", F.slice("signs", F.lit(1), F.col("place")))
         .groupBy(*bucket, "i", "j").applyInArrow(_verify(threshold), "id long, hub long, links long"))
     components = connected_components(found.select(F.col("id").alias("a"), F.col("hub").alias("b")), work)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
