@@ -10,7 +10,9 @@ next (closed form, from the source's token total); the fraction lost by that rou
 deficit the shard starts with. Each shard then holds every source in the target proportions, has
 the same size whatever the sources' sizes (a source with a third of all rows is spread over all
 shards), and is packed on its own. A queue's order is the order of the input. The rest of a shard
-fills sequences of the powers of two it consists of, so nothing is padded.
+fills sequences of the powers of two it consists of, so nothing is padded. A shard holds at most
+``shard_tokens`` tokens and, as no document is without a token, as many rows; its pieces are cut in
+arrays, not row by row.
 
 Each document is its ids and the end id; every id lies in one piece. Defined results: a null text
 is empty (one end id); a null source is the source ''; repeated rows are packed each; extra
@@ -22,8 +24,10 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from fractions import Fraction
+from heapq import heapify, heappop, heappush
 from struct import pack as pack_values
 
 import numpy as np
@@ -183,66 +187,93 @@ def capacities(tokens: int, size: int) -> list[int]:
 def round_robin(queues: list[int], shares: list[Fraction], deficits: list[float],
                 sizes: list[int]) -> Iterator[list[tuple[int, int]]]:
     """For each sequence size, the (queue, tokens) it takes in order. ``queues`` are the tokens
-    waiting, ``shares`` the target proportions, ``deficits`` what each is owed at the start."""
-    left, owed = list(queues), list(deficits)
-    shares = [float(share) for share in shares]
+    waiting, ``shares`` the target proportions, ``deficits`` what each is owed at the start. Whole
+    quanta are taken as arrays; free room goes to the largest deficits by a heap."""
+    left, owed = np.array(queues, np.int64), np.array([float(d) for d in deficits])
+    shares = np.array([float(share) for share in shares])
     for size in sizes:
-        room, takes = size, []
-        for q, share in enumerate(shares):
-            owed[q] += size * share
-            take = min(int(owed[q]), left[q], room)
-            if take > 0:
-                takes.append((q, take))
-                left[q] -= take
-                owed[q] -= take
-                room -= take
+        owed += size * shares
+        take = np.clip(np.floor(owed), 0, left).astype(np.int64)
+        take = np.clip(take, 0, np.maximum(size - (np.cumsum(take) - take), 0))
+        left -= take
+        owed -= take
+        some = np.flatnonzero(take)
+        takes, room = list(zip(some.tolist(), take[some].tolist())), size - int(take.sum())
+        if room:
+            waiting = np.flatnonzero(left)
+            heap = list(zip((-owed[waiting]).tolist(), waiting.tolist()))
+            heapify(heap)
         while room:
-            q = max((q for q in range(len(left)) if left[q]), key=lambda q: owed[q])
-            others = [owed[o] for o in range(len(left)) if left[o] and o != q]
-            take = min(left[q], room, max(1, int(owed[q] - max(others)) if others else room))
-            takes.append((q, take))
-            left[q] -= take
-            owed[q] -= take
-            room -= take
+            due, q = heappop(heap)
+            # Up to the next largest deficit, or all that is free if no other queue waits.
+            n = min(int(left[q]), room, max(1, int(heap[0][0] - due)) if heap else room)
+            takes.append((q, n))
+            left[q] -= n
+            owed[q] -= n
+            room -= n
+            if left[q]:
+                heappush(heap, (float(-owed[q]), q))
         yield takes
 
 
+def cut_pieces(lengths: np.ndarray, plan) -> dict[str, np.ndarray]:
+    """The pieces of a shard in the order of its sequences, as arrays: row and place in the row
+    (``at``), place in the shard (``begin``), length, sequence and offset. ``lengths`` are the rows'
+    tokens, queue by queue; ``plan`` takes every token."""
+    queue, size, number, offset = (array("q") for _ in range(4))
+    for n, takes in enumerate(plan):
+        done = 0
+        for q, take in takes:
+            queue.append(q)
+            size.append(take)
+            number.append(n)
+            offset.append(done)
+            done += take
+    queue, size, number, offset = (np.frombuffer(v, np.int64) for v in (queue, size, number, offset))
+    # Takes of a queue follow one another in its tokens, so both documents and takes cut one line.
+    order = np.argsort(queue, kind="stable")
+    size, number, offset = size[order], number[order], offset[order]
+    row_from, take_from = np.cumsum(lengths) - lengths, np.cumsum(size) - size
+    start = np.union1d(row_from, take_from)
+    length = np.diff(start, append=lengths.sum())
+    row = np.searchsorted(row_from, start, "right") - 1
+    take = np.searchsorted(take_from, start, "right") - 1
+    pieces = {"row": row, "at": start - row_from[row], "begin": start, "length": length,
+              "sequence": number[take], "offset": offset[take] + start - take_from[take]}
+    order = np.lexsort((pieces["offset"], pieces["sequence"]))
+    return {name: values[order] for name, values in pieces.items()}
+
+
 def _pack(size: int, shards: int, tokens: int):
     def run(key, table):
-        table = table.sort_by([("source", "ascending"), ("at", "ascending")])
-        rows = table.drop_columns(["shard", "ids"]).to_pylist()
         shard = key[0].as_py()
-        queues: dict[str, list[int]] = {}
-        for i, r in enumerate(rows):
-            queues.setdefault(r["source"], []).append(i)
-        raws = table["ids"].to_pylist()
-        widths = [r["width"] for r in rows]
-        lengths = [len(raw) // w for raw, w in zip(raws, widths)]
-        names = list(queues)
-        totals = [rows[queues[n][0]]["total"] for n in names]
-        waiting = [sum(lengths[i] for i in queues[n]) for n in names]
+        order = pc.sort_indices(table, [("source", "ascending"), ("at", "ascending")])
+        width = table["width"][0].as_py()
+        raw = pa.concat_arrays(table["ids"].cast(pa.large_binary()).chunks).take(order)
+        ends = np.frombuffer(raw.buffers()[1], np.int64)[:len(raw) + 1]
+        ids = np.frombuffer(raw.buffers()[2], f"<u{width}", ends[-1] // width)
+        lengths = np.diff(ends) // width
+        coded = table["source"].combine_chunks().dictionary_encode().indices.to_numpy()[order.to_numpy()]
+        first = np.flatnonzero(np.diff(coded, prepend=-1))  # sources are in order: one run each
+        totals = table["total"].to_numpy()[order.to_numpy()[first]].tolist()
+        waiting = np.add.reduceat(lengths, first).tolist()
         owed = [shard * t / shards - shard * t // shards for t in totals]
-        out = {name: [] for name in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "source")}
-        head, used = [0] * len(names), [0] * len(names)
-        plan = round_robin(waiting, [Fraction(t, tokens) for t in totals], owed, capacities(sum(waiting), size))
-        for number, takes in enumerate(plan):
-            offset = 0
-            for q, take in takes:
-                while take:
-                    i = queues[names[q]][head[q]]
-                    n = min(take, lengths[i] - used[q])
-                    r, w = rows[i], widths[i]
-                    piece = np.frombuffer(raws[i], f"<u{w}")[used[q]:used[q] + n]
-                    for name, value in (("doc_id", r["doc_id"]), ("start", r["start"] + used[q]), ("length", n),
-                                        ("ids", piece.astype("<u4").tobytes()), ("doc_tokens", r["doc_tokens"]),
-                                        ("sequence_id", (shard << 32) + number), ("offset", offset),
-                                        ("source", r["source"])):
-                        out[name].append(value)
-                    offset, take, used[q] = offset + n, take - n, used[q] + n
-                    if used[q] == lengths[i]:
-                        head[q], used[q] = head[q] + 1, 0
-        return pa.table({k: pa.array(v, pa.string() if k == "source" else pa.binary() if k == "ids" else pa.int64())
-                         for k, v in out.items()})
+        cut = cut_pieces(lengths, round_robin(
+            waiting, [Fraction(t, tokens) for t in totals], owed, capacities(sum(waiting), size)))
+        rows = order.take(pa.array(cut.pop("row")))
+        bounds = np.concatenate(([0], np.cumsum(cut["length"])))
+        # The ids of all pieces one after another: each token's place before the cut.
+        places = np.repeat(cut.pop("begin") - bounds[:-1], cut["length"])
+        places += np.arange(bounds[-1])
+        data = ids[places].astype("<u4")
+        del places
+        return pa.table({
+            "doc_id": table["doc_id"].take(rows), "start": table["start"].to_numpy()[rows.to_numpy()] + cut.pop("at"),
+            "length": cut["length"],
+            "ids": pa.Array.from_buffers(pa.binary(), len(rows), [
+                None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(data)]),
+            "doc_tokens": table["doc_tokens"].take(rows), "sequence_id": (shard << 32) + cut["sequence"],
+            "offset": cut["offset"], "source": table["source"].take(rows)})
     return run
 
 
