@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +43,31 @@ def prepare(spark: SparkSession) -> None:
     sc._tectonic_shipped = True
 
 
+_OPENED: list[Workspace] = []
+
+
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Delete, on leaving, the intermediate tables of every operator called inside: for a caller
+    that has written the operators' results by then (they are lazy and read these tables)."""
+    first = len(_OPENED)
+    try:
+        yield
+    finally:
+        for work in _OPENED[first:]:
+            work.close()
+        del _OPENED[first:]
+
+
 class Workspace:
     """Intermediate tables of one operator run, written below the shared checkpoint folder.
 
-    A written table cuts the lineage: a lost executor costs its unfinished tasks only."""
+    A written table cuts the lineage: a lost executor costs its unfinished tasks only. The tables
+    stay until ``close``, or the end of the ``temporary_tables`` block they were written in."""
 
     def __init__(self, spark: SparkSession):
         prepare(spark)
+        _OPENED.append(self)
         self.spark = spark
         self.root = scratch_path(spark, f"llm-{uuid.uuid4().hex}")
         self._n = 0
@@ -62,10 +82,16 @@ class Workspace:
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete written tables that no later step reads."""
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(table._saved_path)
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(table._saved_path)
+
+    def close(self) -> None:
+        """Delete all tables of this run."""
+        self._delete(self.root)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
@@ -89,7 +115,7 @@ def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
             joined.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
 
     def mark(e):
-        return tuple(e.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first())
+        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
     current = work.save(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())

@@ -1,8 +1,10 @@
 """Operators on documents against brute force, on the smallest table and on awkward rows."""
 
 import hashlib
+import os
 import random
 import zlib
+from fractions import Fraction
 
 from llm import brute
 import numpy as np
@@ -11,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tectonic.llm import bpe, hashing, induced, langid, minhash, packing, quality, substring, suffix_array
+from tectonic.llm import bpe, common, hashing, induced, langid, minhash, packing, quality, substring, suffix_array
 from tectonic.llm.common import Workspace, connected_components
 from tectonic.llm.queries import RANKS, WORDS
 
@@ -208,6 +210,77 @@ def test_packing_keeps_proportions(docs):
     assert (each - share).abs().max().max() < 0.02
 
 
+def naive_round_robin(queues, shares, deficits, sizes):
+    """The schedule written out: quanta in order of the queues, then the largest deficit first."""
+    left, owed = list(queues), list(deficits)
+    for size in sizes:
+        takes, room = [], size
+        owed = [o + size * float(share) for o, share in zip(owed, shares)]
+        for q in range(len(left)):
+            take = max(0, min(int(owed[q]), left[q], room))
+            if take:
+                takes.append((q, take))
+            left[q], owed[q], room = left[q] - take, owed[q] - take, room - take
+        while room:
+            waiting = [q for q in range(len(left)) if left[q]]
+            q = max(waiting, key=lambda q: (owed[q], -q))
+            others = [owed[o] for o in waiting if o != q]
+            take = min(left[q], room, max(1, int(owed[q] - max(others))) if others else room)
+            takes.append((q, take))
+            left[q], owed[q], room = left[q] - take, owed[q] - take, room - take
+        yield takes
+
+
+def test_schedule_and_pieces():
+    rng = random.Random(5)
+    for _ in range(200):
+        documents = [[rng.randint(1, 90) for _ in range(rng.randint(1, 30))] for _ in range(rng.randint(1, 9))]
+        queues = [sum(d) for d in documents]
+        weights = [q * rng.randint(1, 3) for q in queues]
+        shares, owed = [Fraction(w, sum(weights)) for w in weights], [rng.random() for _ in queues]
+        sizes = packing.capacities(sum(queues), 64)
+        plan = list(packing.round_robin(queues, shares, owed, sizes))
+        assert plan == list(naive_round_robin(queues, shares, owed, sizes))
+        lengths = [n for d in documents for n in d]
+        tokens = [(row, i) for row, n in enumerate(lengths) for i in range(n)]
+        heads = np.cumsum([0] + queues)[:-1].tolist()
+        expected = []
+        for takes in plan:
+            expected.append([])
+            for q, n in takes:
+                expected[-1] += tokens[heads[q]:heads[q] + n]
+                heads[q] += n
+        got = [[None] * n for n in sizes]
+        cut = packing.cut_pieces(np.array(lengths), iter(plan))
+        for row, at, n, sequence, offset in zip(*(cut[c].tolist() for c in ("row", "at", "length", "sequence", "offset"))):
+            assert got[sequence][offset:offset + n] == [None] * n
+            got[sequence][offset:offset + n] = [(row, at + i) for i in range(n)]
+        assert got == expected
+
+
+def test_packing_many_sources_and_empty_texts(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "concat('s', id % 3000) as source", "if(id % 2 = 0, '', 'two words') as text") \
+        .union(spark.range(6000, 60000).selectExpr("id", "'bulk'", "cast(null as string)"))
+    pieces = packing.pack(rows, WORDS, 2, size=4096).toPandas()
+    assert sorted(pieces.doc_id.unique()) == list(range(60000))
+    assert pieces.groupby("doc_id").length.sum().eq(pieces.groupby("doc_id").doc_tokens.first()).all()
+    sizes = pieces.groupby("sequence_id").length.sum()
+    assert all(n & (n - 1) == 0 for n in sizes) and (sizes == 4096).sum() == sizes.sum() // 4096
+    share = (pieces.source == "bulk").mul(pieces.length).groupby(pieces.sequence_id).sum() / sizes
+    whole = pieces.length[pieces.source == "bulk"].sum() / pieces.length.sum()
+    assert (share[sizes == 4096] - whole).abs().max() < 0.02
+
+
+def test_temporary_tables_are_deleted(spark, docs):
+    before = len(common._OPENED)
+    with common.temporary_tables():
+        minhash.near_duplicates(docs.limit(20)).write.format("noop").mode("overwrite").save()
+        folders = [work.root for work in common._OPENED[before:]]
+        assert folders and all(os.listdir(f.removeprefix("file:")) for f in folders)
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in folders)
+    assert len(common._OPENED) == before
+
+
 def test_stitching():
     own = bpe.encoder(RANKS, public_tokenizers.PATTERN)
     rng = random.Random(3)

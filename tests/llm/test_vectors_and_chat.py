@@ -66,6 +66,53 @@ def test_top_products(vectors, block, queries):
     assert inner_product.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_tiny_and_huge_components_link_by_direction(spark):
+    rows = [(1, [1e-170, 0.0], 1), (2, [0.0, 1e-170], 1), (3, [2e-170, 1e-175], 1), (4, [1e200, 0.0], 1), (5, [0.0, 1e308], 1),
+            (6, [5e-324, 0.0], 1)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(tuple(r)[:3] for r in got.collect()) == [(1, 3, 1), (2, 1, 2), (3, 3, 1), (4, 3, 1), (5, 1, 2), (6, 3, 1)]
+
+
+@pytest.mark.parametrize("block", [8192, 2])
+def test_products_outside_a_long(spark, block):
+    top, low = 2**63 - 1, -2**63
+    rows = [(0, [1e20, 1.0]), (1, [1e20, 0.0]), (2, [-1e20, 3.0]), (3, [0.5, 2.0]), (4, [-1e308, 1e308]), (5, [2.0**40, 2.0**40])]
+    ints = {d: [min(max(int(np.floor(256 * x)) if abs(x) < 1e300 else (top if x > 0 else low), low), top) for x in v] for d, v in rows}
+    score = {o: min(max(sum(a * b for a, b in zip(ints[0], v)), low), top) for o, v in ints.items() if o}
+    expected = [(0, k + 1, o, score[o]) for k, o in enumerate(sorted(score, key=lambda o: (-score[o], o)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = inner_product.top_k(table, F.col("vec_id") == 0, candidate_block=block)
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_blocks_out_of_reach_are_not_paired(spark):
+    serves, served = inner_product.reached([9.0, 4.0, 4.0, 1.0], [0.0, 1.0, 4.0, 5.0, 20.0])
+    assert serves == [4, 3, 3, 2] and served == [4, 4, 3, 1, 0]
+    assert inner_product.reached([], []) == ([], [])
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((1200, 8)) * rng.gamma(0.5, 4, (1200, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    pairs = []
+    inside = inner_product.reached
+    def counted(longest, needs):
+        pairs.append((sum(inside(longest, needs)[0]), len(longest) * len(needs)))
+        return inside(longest, needs)
+    inner_product.reached = counted
+    try:
+        got = inner_product.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                                  F.col("vec_id") % 2 == 0, candidate_block=50, query_block=50).collect()
+    finally:
+        inner_product.reached = inside
+    assert len(pairs) == 1 and pairs[0][0] < pairs[0][1] / 2
+    ints = np.floor(256 * vectors).astype(np.int64)
+    expected = []
+    for i in range(0, 1200, 2):
+        scores = ints @ ints[i]
+        best = sorted((-int(s), o) for o, s in enumerate(scores) if o != i)[:5]
+        expected += [(i, k + 1, o, -s) for k, (s, o) in enumerate(best)]
+    assert sorted(tuple(r) for r in got) == expected
+
+
 def test_search_prunes():
     rng = np.random.default_rng(0)
     candidates = (rng.standard_normal((4000, 16)) * rng.gamma(1, 60, (4000, 1))).astype(np.int64)
