@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tectonic.llm import langid, minhash, packing, quality, substring
-from tectonic.llm.common import Workspace, crc_mod
+from tectonic.llm.common import Workspace, crc_mod, temporary_tables
 from tectonic.llm.queries import END_ID, WORDS, piece_digests
 
 
@@ -62,9 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages on the whole documents table, each result written and read again."""
+    """The stages on the whole documents table, each result written and read again. A stage's own
+    intermediate tables, and its input if an earlier stage wrote it, go when its result is written."""
     work = Workspace(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for _, stage in STAGES[:-1]:
-        docs = work.save(stage(spark, docs, sf_dir))
+        with temporary_tables():
+            docs = work.save(stage(spark, docs, sf_dir))
+        work.drop(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
