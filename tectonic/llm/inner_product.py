@@ -16,6 +16,11 @@ candidate has the least need are formed at all: a block of short candidates is c
 blocks of queries. For this the driver sees one number for each block (8 bytes for 8,192 candidates
 and for 1,024 queries). Ties go to the smaller id.
 
+Equal vectors have equal scores, so of each distinct vector only the k + 1 rows with the smallest
+ids are candidates, each distinct query vector is searched once for its k + 1 best rows, and every
+query row then takes the first k of them that are not itself. A vector that holds a third of all
+rows costs no more than any other.
+
 Defined results: components and scores outside the range of a long become its nearest value
 (scores are summed exactly first);
 null vectors and vectors with a null or non-finite component take no part;
@@ -117,15 +122,17 @@ def search(queries: np.ndarray, own: np.ndarray, floor: np.ndarray, candidates:
 
 def _search_blocks(rotation: np.ndarray, lead: int, k: int):
     def run(key, left, right):
-        rows = {name: [] for name in ("query_row", "query_id", "vec_id", "score")}
+        names = ("query_row", "vec_id", "row", "score")
+        rows = {name: [] for name in names}
         if left.num_rows and right.num_rows:
-            dim = len(rotation)
-            best, _ = search(_matrix(left["ints"], dim), left["row"].to_numpy(),
-                             left["floor"].to_numpy(), _matrix(right["ints"], dim),
-                             right["vec_id"].to_numpy(), right["row"].to_numpy(), rotation, lead, k)
-            for row, query, found in zip(left["row"].to_pylist(), left["vec_id"].to_pylist(), best):
-                for score, vec in found:
-                    for name, value in zip(rows, (row, query, vec, score)):
+            right = right.sort_by([("vec_id", "ascending"), ("row", "ascending")])
+            dim, place = len(rotation), np.arange(right.num_rows)
+            best, _ = search(_matrix(left["ints"], dim), np.full(left.num_rows, -1), left["floor"].to_numpy(),
+                             _matrix(right["ints"], dim), place, place, rotation, lead, k)
+            ids, numbers = right["vec_id"].to_numpy(), right["row"].to_numpy()
+            for query, found in zip(left["row"].to_pylist(), best):
+                for score, at in found:
+                    for name, value in zip(names, (query, ids[at], numbers[at], score)):
                         rows[name].append(value)
         return pa.table({name: pa.array(values, pa.int64()) for name, values in rows.items()})
     return run
@@ -145,37 +152,39 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         .where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False)))
         .select("vec_id", F.transform(vector, lambda x: F.floor(x.cast("double") * scale)).alias("ints"))
         .withColumn("norm", F.sqrt(F.aggregate(
-            "ints", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))))
-    n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.size("ints")), F.lit(0))).first()
-    fitted = _matrix(rows.orderBy(F.xxhash64("vec_id")).limit(sample).select("ints").toArrow()["ints"], dim)
+            "ints", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))))
+        .withColumn("row", F.monotonically_increasing_id()))
+    copies = Window.partitionBy("ints").orderBy("vec_id", "row")
+    candidates = work.save(rows.withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1).drop("nth"))
+    n, dim = candidates.agg(F.count("*"), F.coalesce(F.max(F.size("ints")), F.lit(0))).first()
+    fitted = _matrix(candidates.orderBy(F.xxhash64("vec_id")).limit(sample).select("ints").toArrow()["ints"], dim)
     rotation = np.linalg.svd(fitted, full_matrices=True)[2].T if len(fitted) >= dim else np.eye(dim)
     blocks = max(1, -(-n // candidate_block))
-    dealt = work.save(rows.withColumn("row", F.monotonically_increasing_id())
-                      .repartitionByRange(blocks, F.col("norm").desc(), "vec_id", "row")
-                      .select("vec_id", "ints", "norm", "row", F.spark_partition_id().alias("c")))
-    queries = dealt.where(is_query).select("vec_id", "ints", "norm", "row")
+    dealt = work.save(candidates.repartitionByRange(blocks, F.col("norm").desc(), "vec_id", "row").select(
+        "vec_id", "ints", "norm", "row", F.spark_partition_id().alias("c")))
+    queries = work.save(rows.where(is_query).groupBy("ints", "norm").agg(F.min("row").alias("row")))
     query_blocks = max(1, -(-queries.count() // query_block))
 
     def best(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInArrow(
-            _search_blocks(rotation, lead, k), "query_row long, query_id long, vec_id long, score long")
+            _search_blocks(rotation, lead, k + 1), "query_row long, vec_id long, row long, score long")
 
     longest = [(r.c, r.norm) for r in dealt.groupBy("c").agg(F.max("norm").alias("norm")).orderBy("c").collect()]
     start = longest[0][0] if longest else 0
     found = work.save(best(
-        queries.select("vec_id", "ints", "row", F.lit(float("-inf")).alias("floor"), F.lit(start).alias("c"),
+        queries.select("ints", "row", F.lit(float("-inf")).alias("floor"), F.lit(start).alias("c"),
                        F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int").alias("q")),
         dealt.where(F.col("c") == start).select(
             "*", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"))))
     if len(longest) > 1:
         floors = found.groupBy("query_row").agg(
-            F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+            F.when(F.count("*") > k, F.min("score")).cast("double").alias("floor"))
         # The margin keeps every candidate that rounding could let through in the walk.
         need = F.when((F.col("floor") > 0) & (F.col("norm") > 0),
                       F.col("floor") / F.col("norm") * (1 - 4 * SLACK)).otherwise(F.lit(0.0))
         ready = work.save(
             queries.join(floors, queries["row"] == floors["query_row"], "left")
-            .select("vec_id", "ints", "row", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), need.alias("need"))
+            .select("ints", "row", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"), need.alias("need"))
             .repartitionByRange(query_blocks, "need", "row").withColumn("q", F.spark_partition_id()))
         needs = [(r.q, r.need) for r in ready.groupBy("q").agg(F.min("need").alias("need")).orderBy("q").collect()]
         serves, served = reached([norm for _, norm in longest], [need for _, need in needs])
@@ -185,12 +194,17 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, id_col: st
         spans = spark.createDataFrame([(q, i, m) for i, ((q, _), m) in enumerate(zip(needs, served))],
                                       "q int, turn int, served int")
         left = ready.join(spans, "q").where("served > 1").select(
-            "vec_id", "ints", "row", "floor", F.col("turn").alias("q"),
+            "ints", "row", "floor", F.col("turn").alias("q"),
             F.explode(F.sequence(F.lit(1), F.col("served") - 1)).alias("c"))
         right = dealt.join(places, "c").where("place > 0 and serves > 0").select(
             "vec_id", "ints", "row", F.col("place").alias("c"),
             F.explode(F.sequence(F.lit(0), F.col("serves") - 1)).alias("q"))
         found = found.union(best(left, right))
-    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
-    return found.select("*", F.row_number().over(order).alias("rank")).where(F.col("rank") <= k) \
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
+    best_rows = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1) \
+        .groupBy("query_row").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "row", "score"))).alias("best"))
+    answers = queries.select("ints", F.col("row").alias("query_row")).join(best_rows, "query_row").drop("query_row")
+    return rows.where(is_query).join(answers, "ints").select(
+        F.col("vec_id").alias("query_id"),
+        F.posexplode(F.slice(F.filter("best", lambda r: r["row"] != F.col("row")), 1, k)).alias("rank", "hit")) \
+        .select("query_id", (F.col("rank") + 1).alias("rank"), "hit.vec_id", "hit.score")

@@ -113,6 +113,23 @@ def test_blocks_out_of_reach_are_not_paired(spark):
     assert sorted(tuple(r) for r in got) == expected
 
 
+@pytest.mark.parametrize("block", [8192, 30])
+def test_a_hot_vector_is_searched_once(spark, block):
+    """A third of all rows hold one vector, some of them under one id."""
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(300)]
+    rows = [(d, rows[10][1]) if d % 3 == 0 else (d, v) for d, v in rows] + [(50, rows[10][1])] * 7
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = inner_product.top_k(table, F.col("vec_id") % 25 == 0, candidate_block=block, query_block=4, lead=2)
+    ints = [np.floor(256 * np.array(v)).astype(int) for _, v in rows]
+    expected = []
+    for i, (d, _) in enumerate(rows):
+        if d % 25 == 0:
+            best = sorted((-int(ints[i] @ w), rows[j][0]) for j, w in enumerate(ints) if j != i)[:5]
+            expected += [(d, k + 1, o, -s) for k, (s, o) in enumerate(best)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
 def test_search_prunes():
     rng = np.random.default_rng(0)
     candidates = (rng.standard_normal((4000, 16)) * rng.gamma(1, 60, (4000, 1))).astype(np.int64)
