@@ -39,4 +39,6 @@ def broken_rules(constraints: Constraints) -> Column:
 
 
 def with_broken_rules(df: DataFrame, constraints: Constraints) -> DataFrame:
-    return df.withColumn(BROKEN, broken_rules(constraints))
+    """``df`` and its broken rules. A generated column: Catalyst leaves a filter on it above, where a
+    filter on a projected one would repeat the typing of all checked columns once per rule."""
+    return df.select("*", F.explode(F.array(broken_rules(constraints))).alias(BROKEN))
