@@ -72,7 +72,8 @@ def observed_reasons(df: DataFrame, name: str, reason: Column, reasons: tuple[st
 
 
 def ledger(df: DataFrame, source: str, reason: Column | str) -> DataFrame:
-    """``(source, reason, rejected)``: one row per reason that occurs."""
+    """``(source, reason, rejected)``: one row per reason that occurs. Rows without a reason fall out by
+    their count: a filter on the reason would be pushed below and work it out a second time."""
     why = F.col(reason) if isinstance(reason, str) else reason
-    return df.groupBy(why.alias("reason")).agg(F.count(F.lit(1)).alias("rejected")) \
-        .where(F.col("reason").isNotNull()).select(F.lit(source).alias("source"), "reason", "rejected")
+    return df.select(why.alias("reason")).groupBy("reason").agg(F.count("reason").alias("rejected")) \
+        .where("rejected > 0").select(F.lit(source).alias("source"), "reason", "rejected")
