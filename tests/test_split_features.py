@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tectonic.sources import geojson
 from tectonic.sources.geojson import read_features, split_features
 
 
@@ -79,3 +80,16 @@ def test_a_broken_feature_spoils_only_itself(spark, tmp_path, small_splits):
     path = write(tmp_path / "b.json", f'{{"features": [{good}, {{"properties": oops}}, {good}]}}')
     got = rows(split_features(spark, path))
     assert [r[0] for r in got].count("A") == 2 and len(got) <= 3
+
+
+def test_ranges_are_bounded_within_a_split(spark, tmp_path, monkeypatch):
+    """Windows run over a few records each, also where one split holds the whole file."""
+    monkeypatch.setattr(geojson, "_RANGE_BITS", 2)
+    doc = {"name": 'a}"{', "features": [feature(f"{{{i}}}\"", "}" * (i % 3), 2 + i % 5) for i in range(60)] + [None], "after": [{}]}
+    path = write(tmp_path / "d.json", json.dumps(doc))
+    assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() == 1
+    pieces = geojson._pieces(spark, path)
+    largest = pieces.groupBy(*geojson._RANGE).count().agg({"count": "max"}).first()[0]
+    assert largest <= 4 < pieces.count() / 20
+    got = rows(split_features(spark, path))
+    assert got == rows(read_features(spark, path)) and len(got) == 60
