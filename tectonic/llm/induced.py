@@ -25,6 +25,7 @@ import numpy as np
 from tectonic.llm import hashing as H
 
 MEMORY = 64 << 20
+BLOCK = 1 << 18  # symbols whose names are hashed at once
 
 
 class Queues:
@@ -192,16 +193,22 @@ class _Induction:
         by_name = np.concatenate(parts[::-1])
         place = np.empty(n, np.int32)
         place[stars] = np.arange(m, dtype=np.int32)
+        del parts, is_star, any_order
         ends = np.append(stars[1:] + 1, n)
-        sums = H.prefix_sums(text.astype(H.U64) + H.U64(1))
-        marks = H.span_hashes(sums, stars, ends) ^ H.mix((ends - stars).astype(H.U64))
+        marks = np.empty(m, H.U64)
+        for i, j in H.slices(np.append(stars, n), BLOCK):  # names overlap by a symbol
+            low = int(stars[i])
+            sums = H.prefix_sums(text[low:ends[j - 1]].astype(H.U64) + H.U64(1))
+            marks[i:j] = H.span_hashes(sums, stars[i:j] - low, ends[i:j] - low)
+        marks ^= H.mix((ends - stars).astype(H.U64))
         marks[-1] ^= H.U64(1)  # the last one ends with the text
         own = place[by_name]
         new = np.ones(m, bool)
         new[1:] = marks[own[1:]] != marks[own[:-1]]
+        del marks, place, by_name
         rank = np.empty(m, np.int64)
         rank[own] = np.cumsum(new)
-        ranks, step, order = [rank], 1, own
+        ranks, step, order = [rank.astype(np.int32)], 1, own
         bits = int(m + 1).bit_length()
         reach = np.append(stars, n + self.cap)
         while rank.max() < m and (reach[step:] - reach[:-step]).min() < self.cap:
@@ -216,12 +223,12 @@ class _Induction:
                 key = key[order]
             rank = np.empty(m, np.int64)
             rank[order] = np.cumsum(np.append(True, key[1:] != key[:-1]))
-            ranks.append(rank)
+            ranks.append(rank.astype(np.int32))
             step *= 2
         # common prefixes of neighbours: whole names by the ranks, then symbols
         a, b = order[:-1].copy(), order[1:].copy()
         for level in range(len(ranks) - 1, -1, -1):
-            padded = np.append(ranks[level], np.zeros(1 << len(ranks), np.int64))
+            padded = np.append(ranks[level], np.zeros(1 << len(ranks), np.int32))
             here = padded[a]
             same = (here == padded[b]) & (here > 0)
             step = same.astype(np.int64) << level

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 from fractions import Fraction
 
@@ -438,3 +439,26 @@ def test_lines_that_texts_repeat_are_few_windows(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = [(r.doc_id, r.n_words, r.n_removed, r.text) for r in substring.remove_repeated_windows(table, one_space=True).collect()]
     same(got, brute.repeated_windows(rows))
+
+
+def test_names_of_suffixes_are_hashed_in_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = np.concatenate([rng.integers(1, 5, 400), np.full(300, 7), np.tile(rng.integers(1, 200, 60), 4)]).astype(np.uint8)
+    whole = induced.repeated_starts(text, 20)
+    monkeypatch.setattr(induced, "BLOCK", 16)
+    assert (induced.repeated_starts(text, 20) == whole).all() and whole.any() and not whole.all()
+    seen = {}
+    for i in range(len(text) - 19):
+        seen.setdefault(text[i:i + 20].tobytes(), []).append(i)
+    again = sorted(i for places in seen.values() if len(places) > 1 for i in places)
+    assert np.flatnonzero(whole).tolist() == again
+
+
+def test_a_shard_sort_stays_small():
+    """The names' hashes took some 60 bytes for each symbol of the whole text."""
+    text = np.random.default_rng(4).integers(1, 60, 1 << 20).astype(np.uint8)
+    tracemalloc.start()
+    induced.repeated_starts(text, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 * len(text)
