@@ -23,10 +23,14 @@ ARROW_CONF = {
 }
 
 
+# Shuffle files of a finished query go at once: its result is a written table or on its way out.
+SHUFFLE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, and the package's modules on every Python worker's path (as
+    """Small Arrow batches, no shuffle files of finished queries, and the package's modules on every Python worker's path (as
     ``spark-submit --py-files`` would; Spark's file server hands the archive out)."""
-    for key, value in ARROW_CONF.items():
+    for key, value in (ARROW_CONF | SHUFFLE_CONF).items():
         spark.conf.set(key, value)
     sc = spark.sparkContext
     if getattr(sc, "_tectonic_shipped", False):

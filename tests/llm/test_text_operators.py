@@ -1,8 +1,10 @@
 """Operators on documents against brute force, on the smallest table and on awkward rows."""
 
+import glob
 import hashlib
 import os
 import random
+import time
 import tracemalloc
 import zlib
 from fractions import Fraction
@@ -441,6 +443,25 @@ def test_lines_that_texts_repeat_are_few_windows(spark):
     same(got, brute.repeated_windows(rows))
 
 
+def test_shuffle_files_of_a_saved_table_are_deleted(spark):
+    work = Workspace(spark)
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before = files()
+    saved = work.save(spark.range(50_000).groupBy((F.col("id") % 30_000).alias("k")).agg(F.count("*").alias("n")))
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and saved.count() == 30_000
+    twice = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(twice.collect()) == len(twice.collect()) == 7  # files that are missed are made again
+    work.close()
+
+
 def test_names_of_suffixes_are_hashed_in_blocks(monkeypatch):
     rng = np.random.default_rng(3)
     text = np.concatenate([rng.integers(1, 5, 400), np.full(300, 7), np.tile(rng.integers(1, 200, 60), 4)]).astype(np.uint8)
